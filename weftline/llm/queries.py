@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, packing, secrets, url_trust, warc
+from . import jaccard_join, packing, quality_model, rule_forest, secrets, url_trust, warc
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
@@ -28,7 +32,11 @@ def op9_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trust.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_ngram_jaccard, op5_warc, op6_packing, op9_url_trust)}
+def op10_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_forest.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("anomaly")
+
+
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_quality, op4_ngram_jaccard, op5_warc, op6_packing, op9_url_trust, op10_rule_forest)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
