@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, lm_bloom, packing, quality_model, rule_forest, secrets, url_trust, warc
+from . import decontam, jaccard_join, lm_bloom, packing, quality_model, rule_forest, secrets, url_trust, warc
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_lm_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_bloom.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_forest.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_quality, op4_ngram_jaccard, op5_warc, op6_packing, op8_lm_bloom, op9_url_trust, op10_rule_forest)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_quality, op4_ngram_jaccard, op5_warc, op6_packing, op7_decontamination, op8_lm_bloom, op9_url_trust, op10_rule_forest)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
