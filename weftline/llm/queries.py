@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard_join, lm_bloom, packing, quality_model, rule_forest, secrets, url_trust, warc
+from . import decontam, jaccard_join, lm_bloom, packing, quality_model, rule_forest, secrets, suffix_dedup, url_trust, warc
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_forest.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_quality, op4_ngram_jaccard, op5_warc, op6_packing, op7_decontamination, op8_lm_bloom, op9_url_trust, op10_rule_forest)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secret_scan, op3_quality, op4_ngram_jaccard, op5_warc, op6_packing, op7_decontamination, op8_lm_bloom, op9_url_trust, op10_rule_forest)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
