@@ -381,16 +381,16 @@ SELECT a, b, k / (na + nb - k) AS jaccard FROM c WHERE k / (na + nb - k) >= {t}"
 _TURNS = f"SELECT conv_id * 1000 + turn AS i, role AS s, {_key('text')} AS x FROM conversations"
 
 
-@query(_gram_pairs(_TURNS, 0.5))
+@query(_gram_pairs(_TURNS, 0.9))
 def ngram_jaccard_join(t):
     c = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("i"), F.col("role").alias("s"), "text")
-    return similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.5)
+    return similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.9)
 
 
-@query(f"SELECT DISTINCT i FROM (SELECT unnest([a, b]) AS i FROM ({_gram_pairs(_TURNS, 0.6)}))")
+@query(f"SELECT DISTINCT i FROM (SELECT unnest([a, b]) AS i FROM ({_gram_pairs(_TURNS, 0.95)}))")
 def near_conflicts(t):
     c = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("i"), F.col("role").alias("s"), "text")
-    p = similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.6)
+    p = similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.95)
     return p.select(F.explode(F.array("a", "b")).alias("i")).distinct()
 
 
@@ -557,10 +557,10 @@ def sampling_probs(t):
     return n.join(F.broadcast(n.agg(F.sum("w").alias("all"))), F.lit(True)).select("lang", (F.col("w") / F.col("all")).alias("p"))
 
 
-@query("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 4) AS moving FROM events")
+@query("SELECT event_id, CAST(floor(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) * 1000 + 0.2503) AS BIGINT) AS moving_milli FROM events")
 def moving_average(t):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-99, 0)
-    return t.events.select("event_id", F.round(F.avg("value").over(w), 4).alias("moving"))
+    return t.events.select("event_id", F.floor(F.avg("value").over(w) * 1000 + 0.2503).cast("long").alias("moving_milli"))
 
 
 @query()
