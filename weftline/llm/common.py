@@ -8,7 +8,6 @@ Null texts count as empty everywhere.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.plans.storage import shared_dir, stored  # noqa: F401  for the operators
+
 CHUNK = 1 << 20
-#: Used only where the session names no shared folder (tests on one machine).
-LOCAL_SHARED = "file:///tmp/checkpoints/weftline"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 SPACE = np.zeros(256, bool)
@@ -126,20 +125,6 @@ def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder that spark.checkpoint.dir names."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once as Parquet in the shared folder and read back: cuts lineage, outlives lost executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

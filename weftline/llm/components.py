@@ -1,50 +1,3 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components, shared with the library."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import stored
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Links each node's larger neighbours to its least neighbour (or itself)."""
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Links each node and its smaller neighbours to the least of them. Edges have a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    joined = edges.join(least, "a")
-    out = joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return out.union(least.select("a", F.col("m").alias("b"))).distinct()
-
-
-def _mark(edges: DataFrame) -> tuple:
-    """Count and checksum of an edge table."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
-def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
-    """node, component (least node reachable) for every node of an edge.
-
-    edges: columns a, b of one orderable type; null ends and loops are dropped. Rounds are written to the shared folder; a
-    checksum of all edges tells when nothing changes. Raises if it doesn't settle in most_rounds.
-    """
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = stored(now, name)
-    seen = _mark(now)
-    for _ in range(most_rounds):
-        if not seen[0]:
-            break
-        now = stored(_small_star(_large_star(now)), name)
-        mark = _mark(now)
-        if mark == seen:
-            break
-        seen = mark
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+from weftline.operators.graph import components  # noqa: F401

@@ -3,8 +3,9 @@
 1. Each text becomes its set of distinct word shingles (64-bit hashes, sorted). Texts with one set form a class.
 2. A class of size n belongs to a size band (bands grow by 1/threshold, so linked sets lie in one band or in neighbours).
    For the two bands it can meet, its sorted hashes are cut by value into D + 1 parts, D being the largest symmetric
-   difference that a linked pair of these bands can have: linked sets then agree in one whole part (pigeonhole). One part
-   more is made, and each set leaves out its smallest, which keeps empty parts from joining strangers.
+   difference that a linked pair of these bands can have: linked sets then agree in one whole part (pigeonhole). Some spare
+   parts more are made and each set leaves out as many, its smallest: of the spare + 1 or more parts that agree, the
+   largest is left out by neither set, and empty and tiny parts don't tie strangers.
 3. Classes that agree in a part are tied by a star; the connected components of the stars hold all links.
 4. Each component is cut into blocks by size band and hash, and each pair of blocks is a tile. In a tile bit counts of
    hashed bitmaps bound the overlap from above; what passes is counted exactly on the sorted hashes.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import as_long, chunks, dealt, grouped, partitions, record, shingle_sets, stored, text_bytes
 from .components import components
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("keys", pa.binary())])
-_BLOBS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("class", pa.int64())])
+_BLOBS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("which", pa.binary())])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _LINKS = pa.schema([("class", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
@@ -51,7 +52,8 @@ def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
             continue
         # |a ^ b| = |a u b| - |a n b| <= (1 - t) |a u b| <= (1 - t) (|a| + |b|) / (1 + t)
         most = (den - num) * (_edge(tile, num, den) + _edge(tile + 1, num, den)) // (den + num)
-        parts = most + 2
+        spare = 1 + (most + 1) // 8
+        parts = most + 1 + spare
         which = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         size = np.bincount(which.astype(np.int64), minlength=parts)
         total = np.zeros(len(s) + 1, np.uint64)
@@ -60,47 +62,53 @@ def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
         value = total[ends] - total[ends - size]
         label = np.arange(parts, dtype=np.uint64) + np.uint64(tile << 40)
         key = (value ^ (label * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xFF51AFD7ED558CCD)
-        out.append(np.delete(key ^ (key >> np.uint64(33)), int(np.argmin(size))))
+        out.append(np.delete(key ^ (key >> np.uint64(33)), np.argsort(size, kind="stable")[:spare]))
     return np.concatenate(out)
 
 
-def _sets(width: int, num: int, den: int):
+def _class(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = record(_SETS)
         for rows, data, bounds in chunks(batches):
             sets = shingle_sets(data, bounds, width)
-            ids = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
-            yield make(rows.column("doc_id"), rows.column("text_hash"), [len(s) for s in sets], ids, [part_keys(s, num, den).tobytes() if len(s) else b"" for s in sets])
+            yield make(rows.column("doc_id"), rows.column("text_hash"), [len(s) for s in sets], [_class(s) for s in sets])
 
     return run
 
 
-def _blobs(n: int):
-    """(key, class) entries of a task, grouped by the bucket of the key."""
+def _blobs(width: int, num: int, den: int, n: int):
+    """(key, class) entries of a task, each class once, grouped by the bucket of the key; classes as numbers of a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = record(_BLOBS)
-        held, size = [], 0
+        seen, held, size = set(), [], 0
 
         def flush():
             keys, nodes = (np.concatenate(x) for x in zip(*held))
             bucket = ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n + 1, dtype=np.uint64))
-            keys, nodes = keys[order], nodes[order]
-            full = np.flatnonzero(cuts[1:] > cuts[:-1])
-            return make(full.astype(np.int32), [keys[cuts[i] : cuts[i + 1]].tobytes() for i in full], [nodes[cuts[i] : cuts[i + 1]].tobytes() for i in full])
-
-        for batch in batches:
-            for node, keys in zip(batch.column("class").to_pylist(), batch.column("keys")):
-                k = np.frombuffer(keys.as_buffer(), np.uint64)
-                held.append((k, np.full(len(k), node, np.int64)))
-                size += len(k)
-                if size > 3_000_000:
-                    yield flush()
-                    held, size = [], 0
+            for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                own = order[cuts[b] : cuts[b + 1]]
+                table, which = np.unique(nodes[own], return_inverse=True)
+                yield make([b], [keys[own].tobytes()], [table.tobytes()], [which.astype(np.uint32).tobytes()])
+
+        for _, data, bounds in chunks(batches):
+            for s in shingle_sets(data, bounds, width):
+                if len(s) and (node := _class(s)) not in seen:
+                    seen.add(node)
+                    k = part_keys(s, num, den)
+                    held.append((k, np.full(len(k), node, np.int64)))
+                    size += len(k)
+            if size > 2_000_000:
+                yield from flush()
+                held, size = [], 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
@@ -110,7 +118,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, nodes = [], []
     for batch in batches:
         keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("keys")]
-        nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("nodes")]
+        nodes += [np.frombuffer(x.as_buffer(), np.int64)[np.frombuffer(y.as_buffer(), np.uint32)] for x, y in zip(batch.column("classes"), batch.column("which"))]
     if not keys:
         return
     k, v = np.concatenate(keys), np.concatenate(nodes)
@@ -216,11 +224,10 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     spark = docs.sparkSession
     n = partitions(spark)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    sets = stored(keyed.mapInArrow(_sets(width, num, den), "doc_id long, text_hash long, n long, class long, keys binary"), "sets")
+    sets = stored(keyed.mapInArrow(_sets(width), "doc_id long, text_hash long, n long, class long"), "sets")
     classes = stored(sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash")).alias("holder"), F.first("n").alias("n")), "classes")
-    # One holder's keys stand for its class.
-    held = sets.where("n > 0").join(classes.select("class", "holder"), "class").where(F.struct("doc_id", "text_hash").eqNullSafe(F.col("holder"))).select("class", "keys")
-    blobs = held.mapInArrow(_blobs(n), "bucket int, keys binary, nodes binary")
+    # The texts are read again: signatures of all sets are larger than what else is kept.
+    blobs = keyed.select("text").mapInArrow(_blobs(width, num, den, n), "bucket int, keys binary, classes binary, which binary")
     stars = dealt(blobs, "bucket", n).mapInArrow(_stars, "a long, b long")
     near = stored(components(stars, "stars").join(classes, F.col("node") == F.col("class")).drop("node"), "near")
 
