@@ -10,6 +10,8 @@ cut is taken at which the estimated share of texts above it is at most q. Only a
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,7 +139,8 @@ def _band(n: Column) -> Column:
 def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.05, half: float = 0.5, fewest: int = 20) -> dict[tuple[str, int], float]:
     """For each encoding and length band the smallest p-value at which the estimated share of texts is at most q.
 
-    One aggregation into a histogram of at most encodings x bands x BINS rows. A stratum of under fewest candidates gets
+    The estimate of the random strings' number gets one standard error of its own, so that noise in small strata doesn't
+    cut off half of their random strings; the error vanishes beside the estimate as a stratum grows. One aggregation into a histogram of at most encodings x bands x BINS rows. A stratum of under fewest candidates gets
     the cut of alpha = q, which a random string passes with probability 1 - q.
     """
     rows = annotated.select(F.explode(tested).alias("c")).groupBy(F.col("c.e").alias("e"), _band(F.col("c.n")).alias("band"), F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).alias("bin")).count().collect()
@@ -149,7 +152,7 @@ def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.
         total, upper = sum(counts), sum(counts[int(half * BINS) :])
         cut = q
         if total >= fewest:
-            random = min(total, upper / (1 - half))
+            random = min(total, (upper + math.sqrt(upper)) / (1 - half))
             cut = 1.0
             for b in range(BINS):
                 above = sum(counts[b:])
