@@ -9,10 +9,10 @@ from weftline.plans.storage import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Links each node's larger neighbours to its least neighbour (or itself)."""
+    """Links each node's larger neighbours to its least neighbour (or itself). Edges have a > b."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
