@@ -92,11 +92,18 @@ def grow(stats: DataFrame, labels: DataFrame, trees: int = 150, leaf_rows: int =
     As many labelled rows of either kind span the box that is split.
     """
     marked = stats.where("not base_failed").join(labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id").select("doc_id", "quality", "x")
-    take = lambda df: [r["x"] for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).collect()]
-    good = np.array(take(marked.where("quality = 1")))
+    rows = {r["quality"]: r["count"] for r in marked.groupBy("quality").count().collect()}  # 2 at most
+
+    def take(quality: int) -> list:
+        # An ordered limit alone lets every task send sample_rows rows: rows that cannot be among the least hashes go first.
+        share = min(1.0, 1.25 * sample_rows / max(rows.get(quality, 0), 1))
+        near = marked.where((F.col("quality") == quality) & (F.xxhash64("doc_id") <= F.lit(min(int((2 * share - 1) * 2**63), 2**63 - 1))))
+        return [r["x"] for r in near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).collect()]
+
+    good = np.array(take(1))
     if not len(good):
         return None
-    every = np.concatenate([good, np.array(take(marked.where("quality = 0"))).reshape(-1, good.shape[1])])
+    every = np.concatenate([good, np.array(take(0)).reshape(-1, good.shape[1])])
     return Forest(good, every.min(axis=0), every.max(axis=0), trees, leaf_rows)
 
 
