@@ -3,9 +3,9 @@
 1. Each text becomes its set of distinct word shingles (64-bit hashes, sorted). Texts with one set form a class.
 2. A class of size n belongs to a size band (bands grow by 1/threshold, so linked sets lie in one band or in neighbours).
    For the two bands it can meet, its sorted hashes are cut by value into D + 1 parts, D being the largest symmetric
-   difference that a linked pair of these bands can have: linked sets then agree in one whole part (pigeonhole). Some spare
-   parts more are made and each set leaves out as many, its smallest: of the spare + 1 or more parts that agree, the
-   largest is left out by neither set, and empty and tiny parts don't tie strangers.
+   difference that a linked pair of these bands can have: linked sets then agree in one whole part (pigeonhole). Half as
+   many spare parts more are made and each set leaves out as many, its smallest: of the spare + 1 or more parts that agree,
+   the largest is left out by neither set, and empty parts and those of one shingle don't tie strangers.
 3. Classes that agree in a part are tied by a star; the connected components of the stars hold all links.
 4. Each component is cut into blocks by size band and hash, and each pair of blocks is a tile. In a tile bit counts of
    hashed bitmaps bound the overlap from above; what passes is counted exactly on the sorted hashes.
@@ -52,7 +52,7 @@ def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
             continue
         # |a ^ b| = |a u b| - |a n b| <= (1 - t) |a u b| <= (1 - t) (|a| + |b|) / (1 + t)
         most = (den - num) * (_edge(tile, num, den) + _edge(tile + 1, num, den)) // (den + num)
-        spare = 1 + (most + 1) // 8
+        spare = 1 + most // 2
         parts = most + 1 + spare
         which = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         size = np.bincount(which.astype(np.int64), minlength=parts)
@@ -212,7 +212,7 @@ def _tiles(width: int, num: int, den: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, tile_docs: int = 256, tile_shingles: int = 150_000) -> DataFrame:
+def jaccard_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, tile_docs: int = 1024, tile_shingles: int = 500_000) -> DataFrame:
     """Near-duplicate classes and links of the whole texts of docs (doc_id, text; other columns are ignored).
 
     Returns a row per input row: doc_id, n_shingles, component_id (least doc_id reachable by links; null if all ids of the
