@@ -51,3 +51,30 @@ def test_planted(spark):
     kept = drop_leaked(d, b)
     assert kept.columns == d.columns and kept.count() == len(docs) - len({i for i, _ in want})
     assert find_leaks(d.limit(0), b).count() == 0 and find_leaks(d, b.limit(0)).count() == 0
+
+
+def test_items_of_common_words(spark):
+    """Items whose copies are so many that all their words are common: in every item, and beside items of rare words."""
+    rng = random.Random(4)
+    new = lambda n: ["".join(rng.choices("etaoinshrdlu", k=9)) for _ in range(n)]
+    hot, rare = new(20), new(30)
+    edited = [w if j % 5 else "other" for j, w in enumerate(hot)]
+    docs, want = [], {}
+    for i in range(120):
+        text = new(30)
+        if i % 3 == 0:
+            text[9:9] = edited if i % 2 else hot
+            want[i, 0] = 0.8 if i % 2 else 1.0
+        elif i % 3 == 1:  # all its words, in no order
+            text[9:9] = rng.sample(hot, 20)
+        if i == 7:
+            text[40:40] = rare
+        if i == 6:  # beside rare words of another item
+            text[9:9], text[29:29] = rare[:8], rare[8:15]
+        docs.append((i, " ".join(text)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    found = lambda *items: {(r.doc_id, r.item_id): round(r.lcs, 6) for r in find_leaks(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found((0, " ".join(hot))) == want
+    assert found((0, " ".join(hot)), (1, " ".join(rare))) == want | {(7, 1): 1.0}
+    kept = drop_leaked(d, spark.createDataFrame([(0, " ".join(hot))], "item_id long, text string"))
+    assert kept.count() == 120 - len(want)

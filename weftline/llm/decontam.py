@@ -1,14 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. The words of the benchmark items are the terms. One pass over all passages (64 words) of all documents counts in how
-   many each term occurs; very common terms are left out of the vectors (not of the later check).
+   many each term occurs; very common terms are left out of the vectors (not of the later check). An item that keeps
+   fewer than half of its words (all of them may be common if copies of it are) is searched exactly as well, see 5.
 2. A randomised range finder over the TF-IDF passages: tasks multiply their passages with a random matrix and back, the
    products are added up by blocks of terms, the items are weighed in as passages, and the driver orthonormalises the
    result (terms x rank, bounded by the benchmark).
 3. Every window of every document (32 words at every 16th, 64 at every 32nd) is projected and compared with all items;
    a cosine of least_cosine or more makes a candidate.
 4. A candidate holds if the longest common subsequence of words covers enough of the item and the region also has enough
-   of its answer (the answer column's words if there is one, else the item's rarer terms).
+   of its answer (the answer column's words if there is one, else the item's rarer terms, or all where these are few).
+5. Items of few kept words are also looked for by whole words: every stretch of 1 / least_lcs times the item's length with
+   enough of the item's words, whatever their frequency, is a candidate of 4.
 The benchmark is a stated query set: it is broadcast in blocks of block_items, each with its own passes.
 """
 
@@ -159,6 +162,7 @@ class Index:
     ids: list[int]
     items: list[np.ndarray]
     answers: list[np.ndarray]
+    light: list[int]  # items with fewer than half of their words kept
     fewest: int  # a window with fewer kept terms can't hold an item
     least_cosine: float
     least_lcs: float
@@ -199,6 +203,40 @@ def _windows(index: Index, w: Words) -> Iterator[tuple[int, int, int, int, float
                 yield r, low, int(min(w.first[r + 1], low + width * STEP)), int(piece), float(cosine[i, piece])
 
 
+def _stretches(index: Index, w: Words) -> Iterator[tuple[int, int, int, int]]:
+    """(row, first word, end word, item) of each stretch with enough words of a light item, those with most words first.
+
+    Stretches start at every step-th word and at each row's first and are longer by step, so any of span words is in one.
+    """
+    at, col = index.terms.hits(w.hash) if index.light else ((), ())
+    look = np.zeros(len(index.terms.hashes), bool)
+    for k in index.light:
+        item = index.items[k]
+        own = np.searchsorted(index.terms.hashes, item)
+        look[own] = True
+        places = at[look[col]]
+        look[own] = False
+        if len(places) < index.least_lcs * len(item):
+            continue
+        span = math.ceil(len(item) / index.least_lcs)
+        step = max(1, span // 8)
+        start = np.union1d(np.arange(0, len(w.hash), step), w.first[:-1])
+        start = start[start < len(w.hash)]
+        row = np.searchsorted(w.first, start, "right") - 1
+        end = np.minimum(start + span + step, w.first[row + 1])
+        number = np.searchsorted(places, end) - np.searchsorted(places, start)
+        good = np.flatnonzero(number / len(item) >= index.least_lcs)
+        for i in good[np.argsort(-number[good], kind="stable")]:
+            yield int(row[i]), int(start[i]), int(end[i]), k
+
+
+def _alike(item: np.ndarray, region: np.ndarray) -> float:
+    """Cosine of the word counts."""
+    (x, n), (y, m) = (np.unique(a, return_counts=True) for a in (item, region))
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return float((n[i] * m[j]).sum() / math.sqrt(float((n * n).sum()) * float((m * m).sum())))
+
+
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
@@ -206,6 +244,16 @@ def _search(shared):
             w = Words(data, bounds)
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
             tried: dict[tuple[int, int, int], None] = {}
+
+            def check(r: int, k: int, region: np.ndarray, cosine: float | None) -> None:
+                item, have = index.items[k], best.get((r, k))
+                answer = float(np.isin(index.answers[k], region).mean()) if len(index.answers[k]) else 1.0
+                if answer < index.least_answer:
+                    return
+                share = lcs(item, region) / len(item)
+                if share >= index.least_lcs and (have is None or share > have[1]):
+                    best[r, k] = (_alike(item, region) if cosine is None else cosine, share, answer)
+
             for r, low, high, piece, cosine in _windows(index, w):
                 k = int(index.owner[piece])
                 item = index.items[k]
@@ -218,13 +266,10 @@ def _search(shared):
                 if (r, k, a) in tried:
                     continue
                 tried[r, k, a] = None
-                region = w.hash[a:b]
-                answer = float(np.isin(index.answers[k], region).mean()) if len(index.answers[k]) else 1.0
-                if answer < index.least_answer:
-                    continue
-                share = lcs(item, region) / len(item)
-                if share >= index.least_lcs and (have is None or share > have[1]):
-                    best[r, k] = (cosine, share, answer)
+                check(r, k, w.hash[a:b], cosine)
+            for r, a, b, k in _stretches(index, w):
+                if best.get((r, k), (0.0, 0.0))[1] < 1.0:
+                    check(r, k, w.hash[a:b], None)
             if best:
                 ids = rows.column("doc_id").to_pylist()
                 yield record(_FOUND)([ids[r] for r, _ in best], [index.ids[k] for _, k in best], *map(list, zip(*best.values())))
@@ -258,18 +303,18 @@ def _fit(docs: DataFrame, items: list, rank: int, max_df: float, limits: tuple[f
     block = max(1, (4 << 20) // (4 * rank))
     sketch = docs.select("text").mapInArrow(_sketch(terms, idf, rank, seed, block), "block int, z binary")
     z = np.zeros((size, rank))
-    for r in dealt(sketch.withColumn("to", F.col("block") % n), "to", n).select("block", "z").mapInArrow(_add_blocks, "block int, z binary").toLocalIterator():
+    added = dealt(sketch.withColumn("to", F.col("block") % n), "to", n).select("block", "z").mapInArrow(_add_blocks, "block int, z binary")
+    for r in added.toLocalIterator() if (idf > 0).any() else ():
         rows = np.frombuffer(bytes(r["z"])).reshape(-1, rank)
         z[r["block"] * block : r["block"] * block + len(rows)] += rows
     pieces = [(k, x[a : a + PIECE] if len(x) > PASSAGE else x) for k, x in enumerate(words) for a in (range(0, len(x), PIECE) if len(x) > PASSAGE else (0,))]
     part, col = (np.concatenate(x) for x in zip(*((np.full(len(p), i), terms.hits(p)[1]) for i, (_, p) in enumerate(pieces))))
     own = weighted(part, col, idf)
-    if not len(own[0]):
-        return None
-    omega = np.random.default_rng(seed).standard_normal((size, rank)).astype(np.float32)
-    c, rows = _back(*own, omega)
     z /= max(passages, 1)
-    z[c] += rows / len(pieces)
+    if len(own[0]):
+        omega = np.random.default_rng(seed).standard_normal((size, rank)).astype(np.float32)
+        c, rows = _back(*own, omega)
+        z[c] += rows / len(pieces)
     basis, _ = np.linalg.qr(z)
     # Linear term counts make the vector of a window the sum of its blocks' vectors.
     raw = np.zeros((len(pieces), size))
@@ -278,9 +323,12 @@ def _fit(docs: DataFrame, items: list, rank: int, max_df: float, limits: tuple[f
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
     kept = np.bincount(part, idf[col] > 0, minlength=len(pieces))
     scaled = (basis * idf[:, None]).astype(np.float32)
-    rare = [np.unique(x[np.isin(x, terms.hashes[idf > 0])]) for x in words]
+    rare = [np.isin(x, terms.hashes[idf > 0]) for x in words]
+    light = [k for k, x in enumerate(rare) if x.mean() < 0.5]
+    few = set(light)
+    rare = [np.unique(x if k in few else x[kept_words]) for k, (x, kept_words) in enumerate(zip(words, rare))]
     answers = [a if len(a) else r for a, r in zip(answers, rare)]
-    return Index(terms, idf, scaled, vectors.astype(np.float32), np.array([k for k, _ in pieces]), [r["item_id"] for r in items], words, answers, max(1, int(0.4 * kept.min())), *limits)
+    return Index(terms, idf, scaled, vectors.astype(np.float32), np.array([k for k, _ in pieces]), [r["item_id"] for r in items], words, answers, light, max(1, int(0.4 * kept.min())), *limits)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, max_df: float = 0.1, least_cosine: float = 0.4, least_lcs: float = 0.6, least_answer: float = 0.5, block_items: int = 4096, seed: int = 11) -> DataFrame:
