@@ -48,3 +48,11 @@ def test_filter_keeps_levels():
     got = Filter({0: seg.tobytes()}, n).count(keys, 1)
     assert (got >= np.where(top <= 1, top, 0.75 * 2.0**top)).all()
     assert np.mean(got == np.where(top <= 1, top, 0.75 * 2.0**top)) > 0.9
+
+
+def test_scores_do_not_depend_on_the_filter_held_at_once(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("v%d" % rng.randrange(3000) for _ in range(rng.randrange(60)))) for i in range(400)] + [(None, None), (400, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted(((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in lm_scores(d, max_filter_bytes=b).collect()), key=str) for b in (1 << 30, 1, 12000)]
+    assert len(got[0]) == len(rows) and got[1] == got[0] and got[2] == got[0]

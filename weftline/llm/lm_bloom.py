@@ -2,10 +2,10 @@
 
 Counting: every task adds up its unigrams and bigrams as sorted arrays of hashes and counts, cut into buckets by hash, so
 a key reaches its bucket once per task however frequent it is. A bucket adds these up exactly. For each n-gram of count c
-the entries 1 .. 1 + floor(log2 c) go into the bucket's segment of the filter, whose size follows its number of entries
-(up to max_filter_bytes in all: beyond it false positives grow, but no n-gram is left out).
+the entries 1 .. 1 + floor(log2 c) go into the bucket's segment of the filter, whose size follows its number of entries.
 
-Scoring: the segments are broadcast. A count is read by probing entry after entry until one is missing; bigram and
+Scoring: the segments are broadcast, max_filter_bytes of them at once: a filter beyond that is probed in several passes,
+which hand on the levels found for each token, so the scores don't depend on it. A count is read by probing entry after entry until one is missing; bigram and
 unigram counts read this way give an interpolated probability. The exact base score takes the most frequent words from a
 broadcast table of at most head_words rows, and joins all others.
 """
@@ -115,7 +115,7 @@ def entry_hash(keys: np.ndarray, order: int, level) -> np.ndarray:
     return mix(keys + np.uint64(order) * _PAIR + np.asarray(level, np.uint64) * _LEVEL)
 
 
-def _reduce(bits: float, most_words: int):
+def _reduce(bits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = record(_MADE)
         got: dict[tuple[int, int], list] = {}
@@ -135,7 +135,7 @@ def _reduce(bits: float, most_words: int):
                 for level in range(1, int(top.max()) + 1):
                     entries.append(entry_hash(keys[top >= level], order, level))
             size = sum(map(len, entries))
-            segment = np.zeros(int(min(most_words, max(1, size * bits // 64))), np.uint64)
+            segment = np.zeros(int(max(1, size * bits // 64)), np.uint64)
             for h in entries:
                 at, mask = _word_mask(h, np.uint64(len(segment)))
                 np.bitwise_or.at(segment, at.astype(np.int64), mask)
@@ -145,7 +145,7 @@ def _reduce(bits: float, most_words: int):
 
 
 class Filter:
-    """Quantised n-gram counts, read by probing."""
+    """Quantised n-gram counts, read by probing; n-grams of buckets without a segment have level 0."""
 
     def __init__(self, segments: dict[int, bytes], n: int):
         self.n = n
@@ -154,8 +154,8 @@ class Filter:
         self.offset = np.concatenate([[0], np.cumsum(np.maximum(size, 1))[:-1]])
         self.data = np.frombuffer(b"".join(segments.get(b) or bytes(8) for b in range(n)), np.uint64)
 
-    def count(self, keys: np.ndarray, order: int) -> np.ndarray:
-        """The middle of the count range that the entries found stand for; 0 if the first is missing."""
+    def level(self, keys: np.ndarray, order: int) -> np.ndarray:
+        """The last entry found before one is missing; 0 if the first is."""
         bucket = (((keys >> np.uint64(32)) * np.uint64(self.n)) >> np.uint64(32)).astype(np.int64)
         level, here = np.zeros(len(keys), np.int64), np.arange(len(keys))
         for step in range(1, 64):
@@ -164,31 +164,58 @@ class Filter:
             if not len(here):
                 break
             level[here] = step
-        return np.where(level <= 1, level, 0.75 * 2.0**level)
+        return level
+
+    def count(self, keys: np.ndarray, order: int) -> np.ndarray:
+        return middle(self.level(keys, order))
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the count range that a level stands for."""
+    return np.where(level <= 1, level, 0.75 * 2.0**level)
+
+
+_LEVELS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("uni", pa.binary()), ("pair", pa.binary())])
+_LEVELS_SQL = "doc_id long, text string, uni binary, pair binary"
+
+
+def _levels(filt: Filter, rows: pa.RecordBatch, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of all tokens and of the bigrams they end: those of filt and of the passes before, of which one at most is not 0."""
+    words, which = np.unique(tok, return_inverse=True)
+    out = [filt.level(words, 1)[which], filt.level(bigrams(tok), 2)]
+    if "uni" in rows.schema.names:
+        out = [x + np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8) for x, c in zip(out, ("uni", "pair"))]
+    return out[0], out[1]
+
+
+def _pass(block):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filt: Filter = block.value
+        for rows, data, bounds in chunks(batches):
+            tok, first = tokens(data, bounds)
+            found = [x.astype(np.uint8) for x in _levels(filt, rows, tok)]
+            yield record(_LEVELS)(rows.column("doc_id"), rows.column("text"), *([x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])] for x in found))
+
+    return run
 
 
 _SCORES = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("head_sum", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
 
 def _score(model, total: int, distinct: int, kappa: float):
-    loaded: dict = {}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = record(_SCORES)
-        if not loaded:
-            segments, n, keys, counts = model.value
-            loaded["filter"], loaded["head"] = Filter(segments, n), (np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
-        filt, (head, head_count) = loaded["filter"], loaded["head"]
+        filt, head, head_count = model.value
         uid = TaskContext.get().partitionId() << 38
         floor = total + 0.5 * (distinct + 1)
         for rows, data, bounds in chunks(batches):
             tok, first = tokens(data, bounds)
             words, which = np.unique(tok, return_inverse=True)
-            unigram = filt.count(words, 1)
-            before = np.concatenate([unigram[which[first[1] - 1 : first[1]]], unigram[which[:-1]]])
-            pair = np.minimum(filt.count(bigrams(tok), 2), np.minimum(before, unigram[which]))
+            unigram, pair = map(middle, _levels(filt, rows, tok))
+            before = np.concatenate([unigram[first[1] - 1 : first[1]], unigram[:-1]])
+            pair = np.minimum(pair, np.minimum(before, unigram))
             weight = before / (before + kappa)
-            p = weight * pair / np.maximum(before, 1) + (1 - weight) * (unigram[which] + 0.5) / floor
+            p = weight * pair / np.maximum(before, 1) + (1 - weight) * (unigram + 0.5) / floor
             at = np.searchsorted(head, words) if len(head) else np.zeros(len(words), np.int64)
             at[at == len(head)] = 0
             known = (head[at] == words) if len(head) else np.zeros(len(words), bool)
@@ -212,14 +239,15 @@ def lm_scores(docs: DataFrame, bits: float = 10, max_filter_bytes: int = 1 << 30
     Learns from the rows whose crc32(doc_id as text) mod 5 is not 1 (null ids included). base_score sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) over a text's tokens by exact training counts; score sums the model's log10
     probabilities. Null and empty texts have the end token alone. Words are told apart by 64-bit hashes. An empty table
-    gives no rows; without training rows all counts are 0.
+    gives no rows; without training rows all counts are 0. max_filter_bytes is what is held of the filter at once (a bucket's
+    segment at least), not its size.
     """
     spark = docs.sparkSession
     n = partitions(spark)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     counted = dealt(plain.where(~out).select("text").mapInArrow(_count(n), "bucket int, order int, keys binary, counts binary"), "bucket", n)
-    made = stored(counted.mapInArrow(_reduce(bits, max(1, max_filter_bytes // 8 // n)), _MADE_SQL), "lm-counts")
+    made = stored(counted.mapInArrow(_reduce(bits), _MADE_SQL), "lm-counts")
     totals = made.where("kind = 'words'").agg(F.sum("total"), F.sum("n")).first()
     total, distinct = int(totals[0] or 0), int(totals[1] or 0)
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
@@ -242,10 +270,22 @@ def lm_scores(docs: DataFrame, bits: float = 10, max_filter_bytes: int = 1 << 30
     head = words.where(in_head).toArrow()
     order = np.argsort(head.column("h").to_numpy().view(np.uint64))
     keys, counts = head.column("h").to_numpy()[order], head.column("c").to_numpy()[order]
-    segments = {r["bucket"]: bytes(r["a"]) for r in made.where("kind = 'filter'").select("bucket", "a").toLocalIterator()}
-    model = spark.sparkContext.broadcast((segments, n, keys.tobytes(), counts.tobytes()))
-    del segments
-    scored = stored(plain.mapInArrow(_score(model, total, distinct, kappa), "uid long, doc_id long, n_tokens long, n_head long, head_sum double, score double, rare array<long>, times array<long>"), "lm-scores")
+    blocks: list[list[int]] = [[]]
+    held = 0
+    for r in made.where("kind = 'filter'").select("bucket", "total").collect():  # a row per bucket
+        if blocks[-1] and held + 8 * r["total"] > max_filter_bytes:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(r["bucket"])
+        held += 8 * r["total"]
+    block = lambda buckets: Filter({r["bucket"]: bytes(r["a"]) for r in made.where("kind = 'filter'").where(F.col("bucket").isin(buckets)).select("bucket", "a").toLocalIterator()}, n)
+    rows = plain
+    for buckets in blocks[:-1]:
+        part = spark.sparkContext.broadcast(block(buckets))
+        rows = stored(rows.mapInArrow(_pass(part), _LEVELS_SQL), "lm-levels")
+        part.destroy()
+    model = spark.sparkContext.broadcast((block(blocks[-1]), keys.view(np.uint64), counts))
+    scored = stored(rows.mapInArrow(_score(model, total, distinct, kappa), "uid long, doc_id long, n_tokens long, n_head long, head_sum double, score double, rare array<long>, times array<long>"), "lm-scores")
     model.destroy()
     rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("z")).select("uid", F.col("z.rare").alias("h"), F.col("z.times").alias("times"))
     found = rare.join(words.where(~in_head), "h").groupBy("uid").agg(F.sum("times").alias("known"), F.sum(F.col("times") * (F.log10(F.col("c") + 0.5) - F.log10(F.lit(0.5)))).alias("more"))
