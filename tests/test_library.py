@@ -1,5 +1,6 @@
 """Operators of the library on small fixtures with known results."""
 
+import hashlib
 import itertools
 import json
 
@@ -71,6 +72,28 @@ def test_hard_split_has_no_leaks(spark):
     assert {r.row_id: r.split for r in split.hard_split(d, t=0.82).collect()} == got
 
 
+def test_hard_split_looks_at_targets(spark):
+    word = lambda *k: hashlib.md5(repr(k).encode()).hexdigest()[:8]
+    text = lambda *k: " ".join(word(*k, j) for j in range(5))
+    rows = []
+    for i in range(120):  # rows i and i + 60 have different sources, and equal, nearly equal or different targets
+        of, more = (i % 60, " xyz" if i >= 60 and i % 3 == 1 else "") if i % 3 < 2 else (i, "")
+        rows.append((i, "ami", "s", text("s", i), text("t", of) + more, True))
+    d = spark.createDataFrame(rows, "row_id long, lang string, source string, src string, tgt string, eligible boolean")
+    out = split.hard_split(d, t=0.82)
+    got = {r.row_id: r for r in out.collect()}
+    assert len(got) == 120 and {r.split for r in got.values()} == {"train", "validate", "test"}
+    for i in range(60):
+        if i % 3 < 2:
+            assert got[i].split == got[i + 60].split
+        assert (got[i].group_id == got[i + 60].group_id) == (i % 3 == 0)
+    report = lambda s: {r.gate: r.n for r in split.split_report(s, d, 0.82).collect()}
+    good = report(out)
+    assert len(good) == 8 and set(good.values()) == {0}
+    bad = spark.createDataFrame([(i, "ami", i, "train" if i < 60 else "test") for i in range(120)], "row_id long, lang string, group_id long, split string")
+    assert report(bad) == {**good, "target_overlap": 20, "target_ngram_overlap": 40}
+
+
 def test_eligibility_and_rules(spark):
     rows = [("balanced", "maita ku su", "Please come here"), ("short-question", "“ima su?”", '"Who are you?"'), ("compact", "ima su?", "Who are you today?"), ("single", "millemungku", "I have got a parasol"), ("fragment", "ima su", "who are you")]
     d = spark.createDataFrame(rows, "id string, src string, tgt string")

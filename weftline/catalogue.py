@@ -464,7 +464,10 @@ def stratified_holdout_topn(t):
 
 
 def _split_rows(t: Tables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").alias("row_id"), F.lit("x").alias("lang"), F.col("p_brand").alias("source"), F.concat_ws(" ", "p_name", "p_type", "p_brand", F.col("p_partkey").cast("string"), F.md5(F.col("p_partkey").cast("string").cast("binary"))).alias("src"), (F.col("p_size") > 5).alias("eligible"))
+    # Parts have no translation: every 20th target equals the next row's, and every 20th is nearly the next row's.
+    k = F.col("p_partkey")
+    tgt = F.concat(F.md5(F.concat(F.lit("t"), F.when((k % 20).isin(0, 7), k + 1).otherwise(k).cast("string")).cast("binary")), F.when(k % 20 == 7, " yz").otherwise(""))
+    return t.part.select(F.col("p_partkey").alias("row_id"), F.lit("x").alias("lang"), F.col("p_brand").alias("source"), F.concat_ws(" ", "p_name", "p_type", "p_brand", F.col("p_partkey").cast("string"), F.md5(F.col("p_partkey").cast("string").cast("binary"))).alias("src"), tgt.alias("tgt"), (F.col("p_size") > 5).alias("eligible"))
 
 
 @query()
