@@ -174,3 +174,13 @@ def test_streaming(spark, tmp_path):
         q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "cache")).count() == 2
     assert stream.windowed(d).first().n == 3
+
+
+def test_crosstab_counts_every_source(spark):
+    from types import SimpleNamespace
+
+    from weftline import catalogue
+
+    rows = [("a", "src0")] * 3 + [("a", "src7")] * 2 + [("b", "elsewhere"), ("b", None)]
+    out = catalogue.crosstab_lang_source_all(SimpleNamespace(documents=spark.createDataFrame(rows, "lang string, source string"))).collect()
+    assert {(r.lang, r.source): r.n for r in out} == {("a", "src0"): 3, ("a", "src7"): 2, ("b", "elsewhere"): 1, ("b", None): 1}

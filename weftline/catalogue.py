@@ -489,6 +489,11 @@ def crosstab_lang_source(t):
     return t.documents.where("source in ('src0', 'src1', 'src2')").groupBy("lang").pivot("source", ["src0", "src1", "src2"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
+@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source")
+def crosstab_lang_source_all(t):
+    return t.documents.groupBy("lang", "source").agg(F.count("*").alias("n"))
+
+
 @query(f"SELECT lang, count(*) AS rows, count(*) FILTER ({_tokens('text')} < 50) AS short, count(*) FILTER ({_terminal('text')}) / count(*) AS terminal_share, count(DISTINCT source) AS sources FROM documents GROUP BY lang")
 def language_report(t):
     x = F.col("text")
