@@ -43,7 +43,8 @@ def statistics(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     """Counts per row; classes is a matrix of the byte classes."""
     rows = len(bounds) - 1
     row = np.repeat(np.arange(rows), np.diff(bounds))
-    w = Words(data, bounds)
+    w, prefix = Words(data, bounds, hashed=False), prefix_hashes(data)
+    word = mix(span_hashes(prefix, w.start, w.end))  # of the words as written
     nw = np.diff(w.first)
     code = np.where((data & 0xC0) != 0x80, w.solid, False)
     out = {"classes": np.bincount(row * CLASSES + CLASS[data], minlength=rows * CLASSES).reshape(rows, CLASSES), "n_words": nw, "word_chars": np.bincount(row[code], minlength=rows)}
@@ -51,17 +52,17 @@ def statistics(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
 
     word_row = np.repeat(np.arange(rows), nw)
     salt = mix(mix(np.arange(rows, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
-    covered = np.zeros(len(w.hash) + 1, np.int64)
-    if len(w.hash) >= 5:
-        g = w.hash[: len(w.hash) - 4].copy()
+    covered = np.zeros(len(word) + 1, np.int64)
+    if len(word) >= 5:
+        g = word[: len(word) - 4].copy()
         for k in range(1, 5):
-            g = mix(g * np.uint64(0xD6E8FEB86659FD93) + w.hash[k : len(w.hash) - 4 + k])
+            g = mix(g * np.uint64(0xD6E8FEB86659FD93) + word[k : len(word) - 4 + k])
         at = np.flatnonzero(word_row[:-4] == word_row[4:])
         at = at[_repeats(_keyed(g[at], salt[word_row[at]]))]
         np.add.at(covered, at, 1)
         np.add.at(covered, at + 5, -1)
     out["n_repeat_words"] = _per_row(np.cumsum(covered)[:-1] > 0, w.first)
-    keyed = _keyed(w.hash, salt[word_row])
+    keyed = _keyed(word, salt[word_row])
     out["n_distinct"] = _distinct(keyed, word_row, rows)
 
     breaks = np.flatnonzero(data == 0x0A)
@@ -75,7 +76,7 @@ def statistics(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     end[first[1:] - 1] = bounds[1:]
     solid = np.concatenate([[0], np.cumsum(w.solid)])
     full = solid[np.maximum(end, start)] > solid[start]
-    h = mix(span_hashes(prefix_hashes(data), start, np.maximum(end, start)) + (end - start).astype(np.uint64))
+    h = mix(span_hashes(prefix, start, np.maximum(end, start)) + (end - start).astype(np.uint64))
     h = _keyed(h, salt[line_row])[full]
     lr = line_row[full]
     out["n_lines"] = np.bincount(lr, minlength=rows)
