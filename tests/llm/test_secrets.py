@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def test_battery_matches_plain_loops(spark):
     seen = set()
     for r in rows:
         t, e = texts[r.doc_id], r.c.e
-        t = t.translate(str.maketrans("+/", "-_")) if e == "base64" else t.lower() if e in ("hex", "base36") else t
+        t = t.translate(str.maketrans("+/", "-_")) if e == "base64" else t.lower() if e in ("hex", "letters26", "base36") else t
         assert r.c.p == pytest.approx(p_value(t, secrets.SYMBOLS[e]), abs=2e-3)
         seen.add(e)
     assert seen == {name for name, *_ in secrets.ENCODINGS}
@@ -124,3 +125,47 @@ def test_redaction_replaces_spans_and_keeps_the_rest(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert secrets.secret_report(none).collect() == [] and secrets.redact(none).collect() == []
+
+
+def test_many_matches_and_long_candidates(spark):
+    """Thousands of spans in a text and a candidate of a million characters, in seconds and as plain Python has them."""
+    rng = random.Random(8)
+    many = " ".join(rng.choice(["token=abcdefgh", "é x", "AKIA" + "Q7" * 9, "api_key: password=" + "0b" * 13]) for _ in range(6000))
+    long_ = "".join(rng.choices(secrets.SYMBOLS["base64"], k=1_000_000))
+    rows = [(1, many), (2, f"data:{long_} end"), (3, "x" * 300_000)]
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert got[1].spans.split(",") == base(many)
+    assert got[2].spans == f"random:5:{5 + len(long_)}" and got[3].spans == ""
+    out = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want, at = [], 0
+    for _, s, e in (x.split(":") for x in base(many)):
+        if int(s) >= at:
+            want += [many[at : int(s)], "[SECRET]"]
+        at = max(at, int(e))
+    assert out[1] == "".join(want) + many[at:]
+    assert out[2] == "data:[SECRET] end" and out[3] == rows[2][1]
+
+
+def test_recall_by_encoding(spark):
+    """Random strings of each encoding among words; no stratum is so small that its keys are lost."""
+    rng = random.Random(9)
+    rows, keys = [], {}
+    for name, _, _, least in secrets.ENCODINGS:
+        for i in range(12):
+            key = "".join(rng.choices(secrets.SYMBOLS[name], k=least + 3 * i))
+            keys[len(rows)] = (name, key)
+            rows.append((len(rows), f"some words before {key} and after"))
+    rows += [(len(rows) + i, " ".join("".join(rng.choices(LETTERS[:9], k=6)) for _ in range(9)) + " a/long/path/of/plain/words and-words-that-are-joined-by-signs") for i in range(200)]
+    found = dict.fromkeys((name for name, *_ in secrets.ENCODINGS), 0)
+    wrong = 0
+    for r in secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for x in filter(None, r.spans.split(",")):
+            kind, s, e = x.split(":")
+            good = r.doc_id in keys and rows[r.doc_id][1][int(s) : int(e)] == keys[r.doc_id][1]
+            wrong += not good
+            if good:
+                found[keys[r.doc_id][0]] += 1
+    print(found, wrong)
+    assert min(found.values()) >= 9 and wrong <= 10

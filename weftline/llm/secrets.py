@@ -1,6 +1,6 @@
 """Secret scan with native expressions only: fixed patterns, and a randomness test battery for everything else.
 
-Candidates are runs of encoded characters. Each gets an inferred encoding (an alphabet), and three tests of "drawn
+Candidates are runs of encoded characters, with digits or without. Each gets an inferred encoding (an alphabet), and three tests of "drawn
 uniformly from that alphabet": chi-squared uniformity of the symbols, the runs test about the middle symbol, and the
 lag-one serial correlation. Fisher's method joins the three p-values. Text fails the tests and random strings don't, so
 false discoveries are texts among the candidates that pass. Their share is controlled per encoding and length band: the
@@ -20,12 +20,12 @@ from .common import stored
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
-#: A run of encoded characters with a digit in it; {least} is the smallest length that is tested.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
+#: A run of encoded characters; ENCODINGS has the smallest length at which each encoding is tested.
+CANDIDATE = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "random")
 #: name, test of the string, alphabet size, least length at which the tests can tell text from random strings.
-ENCODINGS = (("decimal", "^[0-9]+$", 10, 32), ("hex", "^([0-9a-f]+|[0-9A-F]+)$", 16, 24), ("base32", "^[A-Z2-7]+$", 32, 24), ("base36", "^([0-9a-z]+|[0-9A-Z]+)$", 36, 24), ("base64", "^[A-Za-z0-9+/_-]+$", 64, 20))
-SYMBOLS = {"decimal": "0123456789", "hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"}
+ENCODINGS = (("decimal", "^[0-9]+$", 10, 32), ("hex", "^([0-9a-f]+|[0-9A-F]+)$", 16, 24), ("letters26", "^([a-z]+|[A-Z]+)$", 26, 24), ("letters52", "^[A-Za-z]+$", 52, 24), ("base32", "^[A-Z2-7]+$", 32, 24), ("base36", "^([0-9a-z]+|[0-9A-Z]+)$", 36, 24), ("base64", "^[A-Za-z0-9+/_-]+$", 64, 20))
+SYMBOLS = {"decimal": "0123456789", "hex": "0123456789abcdef", "letters26": "abcdefghijklmnopqrstuvwxyz", "letters52": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"}
 BINS, BANDS = 50, (28, 40, 64, 1 << 30)
 _SPANS = "array<struct<s:int,r:int,e:int,k:string>>"
 
@@ -34,17 +34,29 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _scan(items: str, following: str, given: str, kind: str, chunk: str = "null") -> str:
+    """SQL for what given (an array of kind) gives for each x of the array items, joined, with a.p handed from x to x (following).
+
+    Growing an array copies it, so the items are taken in about as many chunks as a chunk has items: the work is the
+    item count to the power of 1.5. chunk is worked out once per chunk c from its a.p and is a.t in given.
+    """
+    width = "cast(ceil(sqrt(greatest(size(every), 1))) as int)"
+    return f"""transform(array({items}), every -> flatten(aggregate(
+        transform(sequence(0, {width} - 1), i -> slice(every, i * {width} + 1, {width})),
+        named_struct('p', 0, 'o', cast(array() as array<{kind}>)),
+        (outer, c) -> transform(array(aggregate(c, transform(array(outer.p), p -> named_struct('p', p, 'from', p, 't', transform(array(named_struct('p', p)), a -> {chunk})[0], 'o', cast(array() as {kind})))[0],
+            (a, x) -> named_struct('p', {following}, 'from', a.from, 't', a.t, 'o', concat(a.o, {given})))), r -> named_struct('p', r.p, 'o', concat(outer.o, array(r.o))))[0],
+        outer -> outer.o)))[0]"""
+
+
 def _located(text: str, pattern: str, value: str, empty: str) -> str:
     """Array of value (an expression of p, the start, and x.m, the match) for the matches of pattern in text.
 
     Matches don't overlap, so each start is the length of what the pattern parts and of the matches before it.
     """
     p = _quoted(pattern)
-    return f"""if(regexp_like({text}, {p}), aggregate(
-        zip_with(slice(split({text}, {p}, -1), 1, regexp_count({text}, {p})), regexp_extract_all({text}, {p}, 0), (g, m) -> named_struct('g', length(g), 'm', m)),
-        named_struct('p', 0, 'o', cast(array() as {empty})),
-        (a, x) -> named_struct('p', a.p + x.g + length(x.m), 'o', concat(a.o, transform(array(a.p + x.g), p -> {value}))),
-        a -> a.o), cast(array() as {empty}))"""
+    found = f"zip_with(slice(split({text}, {p}, -1), 1, regexp_count({text}, {p})), regexp_extract_all({text}, {p}, 0), (g, m) -> named_struct('g', length(g), 'm', m))"
+    return f"if(regexp_like({text}, {p}), {_scan(found, 'a.p + x.g + length(x.m)', f'transform(array(a.p + x.g), p -> {value})', empty)}, cast(array() as {empty}))"
 
 
 def base_spans(text: str) -> str:
@@ -74,7 +86,7 @@ def _battery(t: Column) -> Column:
     for name, test, k, shortest in reversed(ENCODINGS):
         hit = t.rlike(test)
         encoding, least, size, order = (F.when(hit, F.lit(x)).otherwise(y) for x, y in ((name, encoding), (shortest, least), (k, size), (SYMBOLS[name], order)))
-    folded = F.when(encoding.isin("hex", "base36"), F.lower(t)).otherwise(F.translate(t, "+/", "-_"))
+    folded = F.when(encoding.isin("hex", "letters26", "base36"), F.lower(t)).otherwise(F.translate(t, "+/", "-_"))
     return F.struct(encoding.alias("e"), n.alias("n"), least.alias("least"), size.cast("double").alias("k"), folded.alias("t"), order.alias("o"))
 
 
@@ -82,7 +94,8 @@ def _p_value(b: Column) -> Column:
     """Fisher's combination of the three tests for a struct of _battery."""
     n, k = b["n"], b["k"]
     values = F.transform(F.split(b["t"], ""), lambda c: F.instr(b["o"], c).cast("double") - 1)
-    squares = F.aggregate(F.split(b["t"], ""), F.lit(0.0), lambda a, c: a + n - F.length(F.replace(b["t"], c, F.lit(""))))
+    # By symbol of the alphabet, not by character: linear in the length.
+    squares = F.aggregate(F.split(b["o"], ""), F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(b["t"], c, F.lit(""))), F.lit(2.0)))
     chi = k * squares / n - n
     df = k - 1
     p_chi = _tail((F.pow(F.greatest(chi, F.lit(1e-9)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
@@ -136,12 +149,12 @@ def _band(n: Column) -> Column:
     return out
 
 
-def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.05, half: float = 0.5, fewest: int = 20) -> dict[tuple[str, int], float]:
+def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.05, half: float = 0.5) -> dict[tuple[str, int], float]:
     """For each encoding and length band the smallest p-value at which the estimated share of texts is at most q.
 
-    The estimate of the random strings' number gets one standard error of its own, so that noise in small strata doesn't
-    cut off half of their random strings; the error vanishes beside the estimate as a stratum grows. One aggregation into a histogram of at most encodings x bands x BINS rows. A stratum of under fewest candidates gets
-    the cut of alpha = q, which a random string passes with probability 1 - q.
+    The estimate of the random strings' number gets a standard error of its own (of the count and four more, as a count of
+    none is no proof of none), so that noise in small strata doesn't cut off their random strings; the error vanishes beside
+    the estimate as a stratum grows. One aggregation into a histogram of at most encodings x bands x BINS rows.
     """
     rows = annotated.select(F.explode(tested).alias("c")).groupBy(F.col("c.e").alias("e"), _band(F.col("c.n")).alias("band"), F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).alias("bin")).count().collect()
     strata: dict[tuple[str, int], list[int]] = {}
@@ -150,15 +163,13 @@ def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.
     out = {}
     for key, counts in strata.items():
         total, upper = sum(counts), sum(counts[int(half * BINS) :])
-        cut = q
-        if total >= fewest:
-            random = min(total, (upper + math.sqrt(upper)) / (1 - half))
-            cut = 1.0
-            for b in range(BINS):
-                above = sum(counts[b:])
-                if above and 1 - random * (1 - b / BINS) / above <= q:
-                    cut = b / BINS
-                    break
+        random = min(total, (upper + math.sqrt(upper + 4)) / (1 - half))
+        cut = 1.0
+        for b in range(BINS):
+            above = sum(counts[b:])
+            if above and 1 - random * (1 - b / BINS) / above <= q:
+                cut = b / BINS
+                break
         out[key] = max(cut, 0.001)
     return out
 
@@ -195,6 +206,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", q: float = 0.05) -> DataFram
     """docs with every found span of text replaced by mark (overlapping spans by one); all rows and columns stay. Null text stays null."""
     cuts = thresholds(annotate(docs.select("text")).select("_weft_tested"), q=q)
     found = annotate(docs).withColumn("_weft_all", F.array_sort(F.concat("_weft_base", random_spans(cuts))))
-    cut = F.expr(f"""aggregate(_weft_all, named_struct('p', 0, 'o', ''), (a, v) -> named_struct('p', greatest(a.p, v.e),
-        'o', if(v.s < a.p, a.o, concat(a.o, substring(text, a.p + 1, v.s - a.p), {_quoted(mark)}))), a -> concat(a.o, substring(text, a.p + 1)))""")
+    # A chunk's own stretch of the text is cut out once, so that cutting at a span doesn't walk through the whole text.
+    pieces = _scan("_weft_all", "greatest(a.p, x.e)", f"if(x.s < a.p, cast(array() as array<string>), array(substring(a.t, a.p - a.from + 1, x.s - a.p), {_quoted(mark)}))", "array<string>", "substring(text, a.p + 1, try_element_at(c, -1).s - a.p)")
+    cut = F.expr(f"concat(array_join({pieces}, ''), substring(text, array_max(transform(_weft_all, v -> v.e)) + 1))")
     return found.withColumn("text", F.when(F.col("text").isNull() | (F.size("_weft_all") == 0), F.col("text")).otherwise(cut)).select(docs.columns)
