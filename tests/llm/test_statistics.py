@@ -62,3 +62,9 @@ def test_quality_and_rules(spark):
     assert rules[400].base_failed and not rules[400].kept
     none = spark.createDataFrame([], docs.schema)
     assert classify(none, marks).count() == 0 and apply_rules(none, marks).count() == 0
+    # Labels that tell nothing: nothing is rejected.
+    for few in (marks.limit(0), marks.where("quality = 1"), marks.where("doc_id = 0")):
+        assert {(r.score, r.predicted) for r in classify(docs, few).collect()} == {(0.5, 1)}
+        assert keep_good(docs, few).count() == len(rows)
+    assert apply_rules(docs, marks.limit(0)).where("kept and base_failed or not kept and not base_failed").count() == 0
+    assert keep_good(none, marks).count() == 0

@@ -62,10 +62,10 @@ def shrunk(cov: np.ndarray, n: float) -> np.ndarray:
     return (1 - rho) * cov + (rho * trace / p + 1e-6) * np.eye(p)
 
 
-def fit(feats: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+def fit(feats: DataFrame, labels: DataFrame, label: str = "quality") -> Model | None:
     """Fits on every labelled row (doc_id, label of 0 or 1; null labels and ids don't count) outside the held-out fold.
 
-    Raises if a class has fewer than two rows.
+    None if a class has fewer than two rows: no covariance can be told from these.
     """
     d = len(FEATURES)
     rows = feats.join(labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")), "doc_id").where(~held_out())
@@ -88,7 +88,7 @@ def fit(feats: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
         total[r["y"], r["i"]] = r["v"]
     n, first, second = total[:, 0], total[:, 1 : 1 + d], total[:, 1 + d :].reshape(2, d, d)
     if n.min() < 2:
-        raise ValueError("both classes need two labelled rows or more")
+        return None
     centre = first.sum(axis=0) / n.sum()
     scale = np.sqrt(np.maximum(np.diagonal(second.sum(axis=0)) / n.sum() - centre**2, 1e-8))
     means, factors, bias = [], [], []
@@ -118,18 +118,16 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A row per row of docs (doc_id, text; other columns are ignored): doc_id, held_out, score, predicted.
 
     Null and empty texts are scored by their (empty) statistics; rows with a null doc_id are scored and not held out;
-    repeated rows get equal scores; an empty docs gives no rows if there are no labelled rows to fit on either.
+    repeated rows get equal scores; an empty docs gives no rows. Without two labelled rows of each class outside the
+    held-out fold (an empty labels table too) nothing is known: every score is 0.5, and nothing is rejected.
     """
     feats = stored(document_features(docs), "quality-features")
-    if feats.isEmpty():
-        return feats.select("doc_id", F.lit(False).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    scored = score(feats, fit(feats, labels))
+    model = fit(feats, labels)
+    scored = feats.select("doc_id", F.lit(0.5).alias("score")) if model is None else score(feats, model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows that the model rejects; columns stay, rows with a null doc_id are kept."""
-    if docs.isEmpty():
-        return docs
     bad = classify(docs, labels).where("predicted = 0 and doc_id is not null").select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
