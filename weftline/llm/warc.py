@@ -31,13 +31,17 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_bytes(kind: str, page: int, url: str | None, payload: bytes, sha: str, refers: int | None) -> bytes:
+def _urn(page: int | None) -> str:
+    return f"<urn:page:{'' if page is None else page}>"
+
+
+def record_bytes(kind: str, page: int | None, url: str | None, payload: bytes, sha: str, refers: int | None) -> bytes:
     """A WARC/1.1 record as one gzip member. A revisit holds the HTTP header only, with the payload's length."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if kind == "response" else http
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{page}>"), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Target-URI", "".join((url or "").splitlines())), ("WARC-Payload-Digest", f"sha1:{sha}"), ("Content-Type", "application/http; msgtype=response")]
+    head = [("WARC-Type", kind), ("WARC-Record-ID", _urn(page)), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Target-URI", "".join((url or "").splitlines())), ("WARC-Payload-Digest", f"sha1:{sha}"), ("Content-Type", "application/http; msgtype=response")]
     if refers is not None:
-        head += [("WARC-Refers-To", f"<urn:page:{refers}>"), ("WARC-Profile", PROFILE)]
+        head += [("WARC-Refers-To", _urn(refers)), ("WARC-Profile", PROFILE)]
     text = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in [*head, ("Content-Length", str(len(block)))]) + "\r\n"
     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
     return pack.compress(text.encode() + block + b"\r\n\r\n") + pack.flush()
@@ -82,15 +86,19 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
     """Writes a record per row of pages (page_id, url, html; other columns are ignored) below folder; returns path, records, bytes.
 
     Of rows with equal payloads of least_bytes or more, the one with the largest page_id is a response and the others are
-    revisits of it; smaller payloads are all responses. Null html is an empty payload, null url an empty target; null
-    page_ids are written as -1, and rows that repeat the largest page_id are responses too. The folder must be shared.
+    revisits of it; smaller payloads are all responses. Null html is an empty payload, null url an empty target. A row
+    without a page_id has a record without a number: a revisit if a copy has a page_id, else a response; rows that repeat
+    the largest page_id are responses too. The folder must be shared.
     """
-    rows = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1).cast("long")).alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    n = partitions(pages.sparkSession)
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     sized = F.octet_length(F.coalesce("html", F.lit("")))
-    # Spark's own sha1 is the key, so that only hashes are shuffled, map-side combined: copies may be a third of all rows.
-    keyed = rows.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
-    heads = keyed.where(sized >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    decided = keyed.join(heads, "sha", "left").withColumn("refers_to", F.when((sized >= least_bytes) & (F.col("page_id") != F.col("head")), F.col("head")))
+    # The copies of one payload may be a third of all rows: each gets one of n salts, the largest id is found among the few
+    # rows per payload and salt, and comes back to each salt. So no task meets all copies, and every html moves once.
+    keyed = rows.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(n)))
+    parts = keyed.where(sized >= least_bytes).groupBy("sha", "salt").agg(F.max("page_id").alias("most"))
+    heads = parts.join(parts.groupBy("sha").agg(F.max("most").alias("head")), "sha").select("sha", "salt", "head")
+    decided = keyed.join(heads, ["sha", "salt"], "left").withColumn("refers_to", F.when((sized >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("head")), F.col("head")))
     decided = decided.select("page_id", "url", "html", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("kind"), "refers_to")
     shas = decided.mapInArrow(_shas, "page_id long, url string, html string, kind string, refers_to long, digest string")
     return shas.mapInArrow(_write(folder), "path string, records long, bytes long")
@@ -157,7 +165,8 @@ _READ = "page_id long, url string, record_type string, refers_to long, payload_d
 
 def _read(with_payload: bool):
     def page(x: str | None) -> int | None:
-        return int(x.removeprefix("<urn:page:").removesuffix(">")) if x else None
+        number = (x or "").removeprefix("<urn:page:").removesuffix(">")
+        return int(number) if number else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
