@@ -79,7 +79,7 @@ SELECT page_id, payload_bytes,
 FROM m"""
 
 
-def _url_sql(rounds: int = 8, damping: float = 0.85) -> str:
+def _url_sql(rounds: int = 58, damping: float = 0.85) -> str:
     rules = sorted(url_trust.RULES, key=lambda r: -len(r[1]))
 
     def fits(rule: str) -> str:

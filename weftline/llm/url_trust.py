@@ -3,19 +3,25 @@
 Hosts that a rule allows are the restart set of a personalised PageRank along links; hosts that a rule blocks are the
 restart set of one against the links, so that whoever links to blocked hosts is distrusted. A page that no rule fits is
 blocked if its host's distrust exceeds its trust by a factor. Links between hosts are added up before each join, and the
-state is one row per host and direction.
+state is one row per host and direction. Hub hosts' links and pages are dealt over SALTS tasks, to each of which the hub's
+one row is sent.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.plans.storage import discard
+
 from .common import stored
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+SALTS = 16
 _LINK = r"""(?s)(?i:href)\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s>]+)"""
 
 
@@ -36,8 +42,20 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def host_scores(pages: DataFrame, rules=RULES, damping: float = 0.85, rounds: int = 8) -> DataFrame:
-    """host, trust, distrust of every host of pages (host, rule, html) or linked from them. rounds power iterations from the seeds."""
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).alias("salt")
+
+
+def _to_all_salts(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+
+def host_scores(pages: DataFrame, rules=RULES, damping: float = 0.85, tolerance: float = 1e-4) -> DataFrame:
+    """host, trust, distrust of every host of pages (host, rule, html) or linked from them.
+
+    Power iterations from the seeds go on until the summed change of both is at most tolerance. Each one shrinks the
+    change by damping, from 1 at most, so there are log(tolerance) / log(damping) of them at most, however long link chains are.
+    """
     allowed = [r for v, r in rules if v == "allow"]
     blocked = [r for v, r in rules if v == "block"]
     share = lambda names: F.sum(F.when(F.col("rule").isin(names), 1).otherwise(0)) / F.count("*")
@@ -47,19 +65,23 @@ def host_scores(pages: DataFrame, rules=RULES, damping: float = 0.85, rounds: in
     forward = links.select(F.col("host").alias("a"), F.col("to").alias("b"), "w", F.lit("t").alias("way"))
     both = forward.union(links.select(F.col("to").alias("a"), F.col("host").alias("b"), "w", F.lit("b").alias("way")))
     out = both.groupBy("a", "way").agg(F.sum("w").alias("all"))
-    edges = stored(both.join(out, ["a", "way"]).select("way", "a", "b", (damping * F.col("w") / F.col("all")).alias("w")), "host-edges")
+    edges = stored(both.join(out, ["a", "way"]).select("way", "a", "b", (damping * F.col("w") / F.col("all")).alias("w"), _salt("b")), "host-edges")
     start = seeds.select("host", F.expr("stack(2, 't', t, 'b', b) as (way, r)")).where("r > 0")
     start = stored(start.select("way", "host", F.col("r").alias("r")), "host-seeds")
     sums = {r["way"]: r["s"] for r in start.groupBy("way").agg(F.sum("r").alias("s")).collect()}  # two rows
     norm = F.when(F.col("way") == "t", F.lit(float(sums.get("t") or 1))).otherwise(F.lit(float(sums.get("b") or 1)))
     base = start.select("way", "host", ((1 - damping) * F.col("r") / norm).alias("r"))
-    now = base
-    for i in range(rounds):
-        held = now.select("way", F.col("host").alias("a"), "r")
-        moved = held.join(edges, ["way", "a"]).select("way", F.col("b").alias("host"), (F.col("r") * F.col("w")).alias("r"))
-        now = moved.union(base).groupBy("way", "host").agg(F.sum("r").alias("r"))
-        if i % 2 == 1 or i == rounds - 1:
-            now = stored(now, "host-ranks")
+    now = stored(base.withColumn("change", F.col("r")), "host-ranks")
+    for _ in range(math.ceil(math.log(tolerance) / math.log(damping)) + 1):
+        held = _to_all_salts(now.select("way", F.col("host").alias("a"), "r"))
+        moved = held.join(edges, ["way", "a", "salt"]).select("way", F.col("b").alias("host"), (F.col("r") * F.col("w")).alias("r"), F.lit(0.0).alias("before"))
+        before = now.select("way", "host", F.lit(0.0).alias("r"), F.col("r").alias("before"))
+        added = moved.union(base.withColumn("before", F.lit(0.0))).union(before).groupBy("way", "host").agg(F.sum("r").alias("r"), F.sum("before").alias("before"))
+        last, now = now, stored(added.select("way", "host", "r", F.abs(F.col("r") - F.col("before")).alias("change")), "host-ranks")
+        discard(last)
+        if (now.agg(F.sum("change")).first()[0] or 0.0) <= tolerance:
+            break
+    discard(edges, start, links)
     total = lambda way: F.sum(F.when(F.col("way") == way, F.col("r")).otherwise(0.0))
     return now.groupBy("host").agg(total("t").alias("trust"), total("b").alias("distrust"))
 
@@ -77,4 +99,4 @@ def judge(pages: DataFrame, rules=RULES, factor: float = 1.0) -> DataFrame:
     verdict = F.when(F.col("bad"), "block").otherwise("allow")
     for v in ("allow", "block"):
         verdict = F.when(F.col("rule").isin([r for w, r in rules if w == v]), v).otherwise(verdict)
-    return own.drop("url", "html").join(bad, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+    return own.drop("url", "html").withColumn("salt", _salt("page_id", "path")).join(_to_all_salts(bad), ["host", "salt"], "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
