@@ -233,7 +233,7 @@ def _score(model, total: int, distinct: int, kappa: float):
     return run
 
 
-def lm_scores(docs: DataFrame, bits: float = 10, max_filter_bytes: int = 1 << 30, head_words: int = 1 << 18, kappa: float = 4.0) -> DataFrame:
+def lm_scores(docs: DataFrame, bits: float = 10, max_filter_bytes: int = 1 << 28, head_words: int = 1 << 18, kappa: float = 4.0) -> DataFrame:
     """A row per row of docs (doc_id, text; other columns are ignored): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose crc32(doc_id as text) mod 5 is not 1 (null ids included). base_score sums
