@@ -1,8 +1,12 @@
 """Planted exact, edited and partial passages."""
 
+import math
 import random
+from collections import Counter
 
-from weftline.llm.decontam import drop_leaked, find_leaks, lcs, words_of
+import pytest
+
+from weftline.llm.decontam import drop_leaked, find_leaks, item_masks, lcs, words_of
 
 
 def slow_lcs(a, b):
@@ -19,7 +23,7 @@ def test_lcs():
     rng = random.Random(1)
     for _ in range(200):
         a, b = (words_of([" ".join(rng.choices("abcdef", k=rng.randrange(1, 80)))])[0] for _ in "ab")
-        assert lcs(a, b) == slow_lcs(a.tolist(), b.tolist())
+        assert lcs(item_masks(a), len(a), b.tolist()) == slow_lcs(a.tolist(), b.tolist())
 
 
 def test_planted(spark):
@@ -78,3 +82,52 @@ def test_items_of_common_words(spark):
     assert found((0, " ".join(hot)), (1, " ".join(rare))) == want | {(7, 1): 1.0}
     kept = drop_leaked(d, spark.createDataFrame([(0, " ".join(hot))], "item_id long, text string"))
     assert kept.count() == 120 - len(want)
+
+
+@pytest.mark.parametrize("rows, copies", [(40, 20), (1, 1), (3, 3)])
+def test_copies_that_most_documents_hold(spark, rows, copies):
+    rng = random.Random(rows)
+    new = lambda n: ["".join(rng.choices("etaoinshrdlu", k=7)) for _ in range(n)]
+    item = " ".join(new(30))
+    docs = [(i, item if i < copies else " ".join(new(60))) for i in range(rows)]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.lcs) for r in got) == [(i, 5, 1.0) for i in range(copies)]
+
+
+def test_paraphrases_against_exhaustive_search(spark):
+    """Every stretch of item length / 0.6 words is tried; 0.9 of the pairs so found must be found, and nothing that no stretch shows."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(3, 8))) for _ in range(3000)]
+    weights = [1 / (i + 3) for i in range(len(words))]  # few words are a good part of all
+    word = lambda: rng.choices(words, weights)[0]
+    prose = lambda n: [word() for _ in range(n)]
+    items = [prose(rng.randrange(14, 60)) for _ in range(25)]
+    docs = []
+    for i in range(250):
+        text = prose(rng.randrange(100, 900))
+        for k in rng.sample(range(25), 2):
+            share = rng.choice([0.0, 0.1, 0.2, 0.3, 0.38, 0.5])
+            leak = [w if rng.random() >= share else rng.choice(["", word()]) for w in items[k]]
+            at = rng.randrange(len(text))
+            text[at:at] = leak
+        docs.append((i, " ".join(text)))
+    got = {(r.doc_id, r.item_id): r for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")).collect()}
+    coded, best, df = [x.tolist() for x in words_of([t for _, t in docs])], {}, Counter()
+    for text in coded:
+        for a in range(0, len(text), 64):
+            df.update(set(text[a : a + 64]))
+    for k, item in enumerate(words_of([" ".join(x) for x in items])):
+        masks, n = item_masks(item), len(item)
+        span = math.ceil(n / 0.6)
+        rarer = set(sorted(masks, key=lambda w: (df[w], w))[: -(-len(masks) // 2)])
+        for i, text in enumerate(coded):
+            hits = [(p, w) for p, w in enumerate(text) if w in masks]
+            for a, (p, _) in enumerate(hits):
+                region = [w for q, w in hits[a : a + span] if q < p + span]
+                if len(region) >= 0.6 * n and len(rarer.intersection(region)) >= 0.5 * len(rarer):
+                    best[i, k] = max(best.get((i, k), 0), lcs(masks, n, region) / n)
+    want = {key for key, share in best.items() if share >= 0.6}
+    assert len(want) > 250 and len(want & set(got)) >= 0.9 * len(want)
+    for i, k in set(got) - want:  # found in a wider region than the stretches
+        assert slow_lcs(words_of([" ".join(items[k])])[0].tolist(), coded[i]) >= 0.6 * len(items[k])
+    print("recall", len(want & set(got)) / len(want), "beyond", len(set(got) - want))

@@ -47,6 +47,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted different entries. Sorting numbers is several times faster than the hash table of numpy's own unique."""
+    s = np.sort(x)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Prefix sums of the polynomial hash: entry i covers data[:i]."""
     out = np.zeros(len(data) + 1, np.uint64)
@@ -110,7 +116,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> list[np.nd
             rolled = mix(rolled * np.uint64(0xD6E8FEB86659FD93) + h[k : len(h) - width + 1 + k])
     for a, b in zip(first[:-1], first[1:]):
         if b - a >= width:
-            out.append(np.unique(rolled[a : b - width + 1]))
+            out.append(distinct(rolled[a : b - width + 1]))
         elif b > a:
             one = np.array([b - a], np.uint64)
             for x in h[a:b]:

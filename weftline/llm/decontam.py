@@ -1,17 +1,15 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. The words of the benchmark items are the terms. One pass over all passages (64 words) of all documents counts in how
-   many each term occurs; very common terms are left out of the vectors (not of the later check). An item that keeps
-   fewer than half of its words (all of them may be common if copies of it are) is searched exactly as well, see 5.
+1. The words of the benchmark items are the terms. One pass over all documents tokenises them and keeps, per document, the
+   places and numbers of its terms; all later passes read this table. The passages (64 words) each term occurs in are counted.
 2. A randomised range finder over the TF-IDF passages: tasks multiply their passages with a random matrix and back, the
    products are added up by blocks of terms, the items are weighed in as passages, and the driver orthonormalises the
-   result (terms x rank, bounded by the benchmark).
+   result (terms x rank, bounded by the benchmark). Weights are smoothed and positive, so no term is lost however common.
 3. Every window of every document (32 words at every 16th, 64 at every 32nd) is projected and compared with all items;
-   a cosine of least_cosine or more makes a candidate.
+   a cosine of least_cosine or more makes a candidate. Pairs of a window and an item whose surroundings have too few of the
+   item's rarer words for a common subsequence of least_lcs are passed over first: no pair that 4 would take is lost by this.
 4. A candidate holds if the longest common subsequence of words covers enough of the item and the region also has enough
-   of its answer (the answer column's words if there is one, else the item's rarer terms, or all where these are few).
-5. Items of few kept words are also looked for by whole words: every stretch of 1 / least_lcs times the item's length with
-   enough of the item's words, whatever their frequency, is a candidate of 4.
+   of its answer (the answer column's words if there is one, else the rarer half of the item's different words).
 The benchmark is a stated query set: it is broadcast in blocks of block_items, each with its own passes.
 """
 
@@ -20,17 +18,23 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise, product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, dealt, partitions, record, stored, text_bytes
+from weftline.plans.storage import discard
+
+from .common import Words, chunks, dealt, distinct, partitions, record, stored, text_bytes
 
 PASSAGE, STEP, PIECE = 64, 16, 48
+WINDOWS = ((2, 1), (4, 2))  # blocks of STEP words, and at every how many of them one starts
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()), ("answer", pa.float64())])
 _FOUND_SQL = "doc_id long, item_id long, cosine double, lcs double, answer double"
+_HITS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("pos", pa.binary()), ("col", pa.binary())])
+_HITS_SQL = "doc_id long, n int, pos binary, col binary"
 
 
 @dataclass
@@ -56,12 +60,55 @@ def words_of(texts: list[str | None]) -> list[np.ndarray]:
     return [w.hash[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
 
 
-def parts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each word's part (parts of size words that rows don't share), and the rows' first parts."""
-    n = np.diff(first)
-    begin = np.concatenate([[0], np.cumsum(-(-n // size))])
-    row = np.repeat(np.arange(len(n)), n)
-    return begin[row] + (np.arange(first[-1]) - first[row]) // size, begin
+def _locate(terms: Terms):
+    """Places and numbers of each text's terms; texts without words are left out, as they hold nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = record(_HITS)
+        for rows, data, bounds in chunks(batches):
+            w = Words(data, bounds)
+            at, col = terms.hits(w.hash)
+            cut = np.searchsorted(at, w.first)
+            pos, col = (at - np.repeat(w.first[:-1], np.diff(cut))).astype(np.int32), col.astype(np.int32)
+            n = np.diff(w.first)
+            some = np.flatnonzero(n)
+            yield make(rows.column("doc_id").take(pa.array(some)), n[some], *([x[cut[r] : cut[r + 1]].tobytes() for r in some] for x in (pos, col)))
+
+    return run
+
+
+@dataclass
+class Slice:
+    """Some documents of the hit table: words per document, and the terms' documents, places and numbers in order."""
+
+    rows: pa.RecordBatch
+    n: np.ndarray
+    row: np.ndarray
+    pos: np.ndarray
+    col: np.ndarray
+
+    def parts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each term's part (parts of size words that documents don't share), and the documents' first parts."""
+        begin = np.concatenate([[0], np.cumsum(-(-self.n // size))])
+        return begin[self.row] + self.pos // size, begin
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Slice]:
+    """Whole documents with about most terms together, one document at least."""
+    for batch in batches:
+        columns = []
+        for name in ("pos", "col"):
+            raw = batch.column(name).cast(pa.large_binary())
+            _, offsets, data = raw.buffers()
+            bounds = np.frombuffer(offsets, np.int64)[raw.offset : raw.offset + len(raw) + 1]
+            columns.append(np.frombuffer(data, np.int32, (bounds[-1] - bounds[0]) // 4, bounds[0]) if bounds[-1] > bounds[0] else np.zeros(0, np.int32))
+            ends = (bounds - bounds[0]) // 4
+        n, at = batch.column("n").to_numpy().astype(np.int64), 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            own = slice(ends[at], ends[to])
+            yield Slice(batch.slice(at, to - at), n[at:to], np.repeat(np.arange(to - at), np.diff(ends[at : to + 1])), columns[0][own].astype(np.int64), columns[1][own].astype(np.int64))
+            at = to
 
 
 def weighted(part: np.ndarray, col: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,57 +116,73 @@ def weighted(part: np.ndarray, col: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     key, tf = np.unique(part.astype(np.int64) * len(idf) + col, return_counts=True)
     part, col = key // len(idf), key % len(idf)
     value = (1 + np.log(tf)) * idf[col]
-    keep = value > 0
-    part, col, value = part[keep], col[keep], value[keep]
     if len(part):
-        norm = np.sqrt(np.bincount(part, value * value))
-        value = value / norm[part]
+        value = value / np.sqrt(np.bincount(part, value * value))[part]
     return part, col, value
 
 
-def _spread(terms: Terms):
+def _spread(size: int):
     schema = pa.schema([("term", pa.int32()), ("df", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, passages = np.zeros(len(terms.hashes), np.int64), 0
-        for _, data, bounds in chunks(batches):
-            w = Words(data, bounds)
-            at, col = terms.hits(w.hash)
-            part, begin = parts(w.first, PASSAGE)
+        df, passages = np.zeros(size, np.int64), 0
+        for s in _slices(batches, 1 << 20):
+            part, begin = s.parts(PASSAGE)
             passages += int(begin[-1])
-            df += np.bincount(np.unique(part[at] * len(df) + col) % len(df), minlength=len(df))
+            df += np.bincount(distinct(part * size + s.col) % size, minlength=size)
         yield record(schema)(np.append(np.flatnonzero(df), -1), np.append(df[df > 0], passages))
 
     return run
 
 
-def _back(part, col, value, omega) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and rows of A'(A omega) for a sparse A sorted by part."""
-    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    y = np.add.reduceat(omega[col] * value[:, None], first)
-    here = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(part))))
-    order = np.argsort(col, kind="stable")
-    c = col[order]
-    start = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-    return c[start], np.add.reduceat(y[here[order]] * value[order][:, None], start)
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal entries start."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
 
+def _back(part, col, value, omega, z, head) -> None:
+    """Adds A'(A omega) to z for a sparse A sorted by part. The terms head, which fill most of A, are taken as a dense matrix."""
+    number = np.cumsum(np.isin(np.arange(len(part)), _runs(part))) - 1
+    place = head[col]
+    often = place >= 0
+    dense = np.zeros((int(number[-1]) + 1, int(head.max()) + 1), np.float32)
+    dense[number[often], place[often]] = value[often]
+    names = np.flatnonzero(head >= 0)
+    names = names[np.argsort(head[names])]
+    y = dense @ omega[names]
+    p, c, v = number[~often], col[~often], value[~often, None]
+    if len(p):
+        first = _runs(p)
+        y[p[first]] += np.add.reduceat(omega[c] * v, first)
+        order = np.argsort(c, kind="stable")
+        first = _runs(c[order])
+        z[c[order][first]] += np.add.reduceat(y[p[order]] * v[order], first)
+    z[names] += dense.T @ y
 
-def _sketch(terms: Terms, idf: np.ndarray, rank: int, seed: int, block: int):
+
+def _omega(size: int, rank: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((size, rank), np.float32)
+
+
+def _head(df: np.ndarray, most: int = 256) -> np.ndarray:
+    """Place of each of the most frequent terms, -1 for the others."""
+    out = np.full(len(df), -1)
+    top = np.argsort(-df, kind="stable")[:most]
+    out[top] = np.arange(len(top))
+    return out
+
+
+def _sketch(idf: np.ndarray, head: np.ndarray, rank: int, seed: int, block: int):
     schema = pa.schema([("block", pa.int32()), ("z", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        omega = np.random.default_rng(seed).standard_normal((len(idf), rank)).astype(np.float32)
-        z = np.zeros((len(idf), rank), np.float32)
-        for _, data, bounds in chunks(batches):
-            w = Words(data, bounds)
-            at, col = terms.hits(w.hash)
-            at, col = at[idf[col] > 0], col[idf[col] > 0]
-            part, _ = parts(w.first, PASSAGE)
-            coo = weighted(part[at], col, idf)
-            if len(coo[0]):
-                c, rows = _back(*coo[:2], coo[2].astype(np.float32), omega)
-                z[c] += rows
-        for b in range(0, len(idf), block):
+        omega, z, some = _omega(len(idf), rank, seed), np.zeros((len(idf), rank), np.float32), False
+        for s in _slices(batches, 1 << 15):
+            part, col, value = weighted(s.parts(PASSAGE)[0], s.col, idf)
+            if len(part):
+                _back(part, col, value.astype(np.float32), omega, z, head)
+                some = True
+        for b in range(0, len(idf), block) if some else ():
             yield record(schema)([b // block], [z[b : b + block].tobytes()])
 
     return run
@@ -135,203 +198,209 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record(pa.schema([("block", pa.int32()), ("z", pa.binary())]))([b], [z.tobytes()])
 
 
-def lcs(item: np.ndarray, region: np.ndarray) -> int:
-    """Length of the longest common subsequence, bit-parallel over the item."""
+def item_masks(item) -> dict[int, int]:
+    """For each word, a bit for each of its places in the item."""
     masks: dict[int, int] = {}
     for i, x in enumerate(item.tolist()):
         masks[x] = masks.get(x, 0) | 1 << i
-    full = (1 << len(item)) - 1
+    return masks
+
+
+def lcs(masks: dict[int, int], n: int, region: list[int]) -> int:
+    """Length of the longest common subsequence of an item of n words and a region, bit-parallel over the item."""
+    full = (1 << n) - 1
     v = full
-    for x in region.tolist():
+    for x in region:
         m = masks.get(x)
         if m:
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return len(item) - v.bit_count()
+    return n - v.bit_count()
 
 
 @dataclass
 class Index:
     """What the search needs of one block of the benchmark."""
 
-    terms: Terms
-    idf: np.ndarray
-    basis: np.ndarray  # terms x rank, rows already times idf
+    scaled: np.ndarray  # terms x rank: basis rows times idf
     vectors: np.ndarray  # unit latent vectors of the items' pieces
     owner: np.ndarray  # item number of each piece
     ids: list[int]
-    items: list[np.ndarray]
-    answers: list[np.ndarray]
-    light: list[int]  # items with fewer than half of their words kept
-    fewest: int  # a window with fewer kept terms can't hold an item
+    sizes: list[int]  # words of each item
+    masks: list[dict[int, int]]
+    answers: list[set[int]]
+    rare: np.ndarray  # sorted term * items + item, where the term is one of the item's rarest words
+    least: np.ndarray  # how many of these words a region must have, by item
     least_cosine: float
     least_lcs: float
     least_answer: float
 
 
-def _windows(index: Index, w: Words) -> Iterator[tuple[int, int, int, int, float]]:
-    """(row, first word, end word, piece, cosine) of each candidate."""
-    at, col = index.terms.hits(w.hash)
-    kept = index.idf[col] > 0
-    at, col = at[kept], col[kept]
-    part, begin = parts(w.first, STEP)
+def signatures(items: list[np.ndarray], df: np.ndarray, least_lcs: float) -> tuple[np.ndarray, np.ndarray]:
+    """rare and least of an index.
+
+    A common subsequence of need words leaves out at most n - need of an item's n words, so of its rarest n - need + t
+    words, whatever t, t at least are met. Rare words are in few items, so few pairs of windows and items have that many.
+    """
+    pairs, least = [], []
+    for k, x in enumerate(items):
+        need = math.ceil(least_lcs * len(x) - 1e-9)
+        least.append(max(1, need // 2))
+        rare = distinct(x[np.lexsort((x, df[x]))][: len(x) - need + least[-1]])
+        pairs.append(rare * len(items) + k)
+    return np.sort(np.concatenate(pairs)), np.array(least)
+
+
+def _reach(n, width: int):
+    """A window of width blocks may hold any part of an item of n words: how far to look on both sides, in words."""
+    return np.maximum(STEP, n - width * STEP + STEP)
+
+
+def _spread_out(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... (count[i] of them) for all i, end to end."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def _near(index: Index, s: Slice, part: np.ndarray, begin: np.ndarray, row: np.ndarray, own: slice, some: tuple[int, int], width: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, item) of the windows whose surroundings have enough rare words of the item, among the terms own and some items."""
+    terms = np.arange(len(index.scaled)) * len(index.sizes)
+    from_, to = (np.searchsorted(index.rare, terms + k)[s.col[own]] for k in some)
+    count = to - from_
+    item = index.rare[_spread_out(from_, count)] % len(index.sizes)
+    key = np.sort(item * len(row) + np.repeat(part[own], count))
+    item, block = key // len(row), key % len(row)
+    last = np.arange(len(key)) + index.least[item] - 1
+    i = np.flatnonzero(last < len(key))
+    j = last[i]
+    far = -(-_reach(np.array(index.sizes)[item[i]], width) // STEP)
+    ok = (item[i] == item[j]) & (row[block[i]] == row[block[j]]) & (block[j] - block[i] < width + 2 * far)
+    i, j, far = i[ok], j[ok], far[ok]
+    r = row[block[i]]
+    low, high = np.maximum(block[j] - width - far + 1, begin[r]), np.minimum(block[i] + far, begin[r + 1] - 1)
+    count = np.maximum(high - low + 1, 0)
+    start, item = _spread_out(low, count), np.repeat(item[i], count)
+    ok = (start - begin[row[start]]) % stride == 0
+    key = distinct(start[ok] * len(index.sizes) + item[ok])
+    return key // len(index.sizes), key % len(index.sizes)
+
+
+def _windows(index: Index, s: Slice, windows: int = 1024, most: int = 4_000_000) -> Iterator[tuple[int, int, int, int, int, float]]:
+    """(document, first word, end word, words to look at on both sides, piece, cosine) of each candidate."""
+    part, begin = s.parts(STEP)
     n = int(begin[-1])
-    if not len(at) or not n:
+    row = np.repeat(np.arange(len(s.n)), np.diff(begin))
+    if not len(part):
         return
-    number = np.bincount(part[at], minlength=n)
-    row = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    last = begin[row + 1]
-    sums = np.concatenate([[0], np.cumsum(number)])
-    mine = part[at]
-    first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
-    dense = np.full(n + 1, len(first), np.int64)  # the last row of vectors is zero
-    dense[mine[first]] = np.arange(len(first))
-    vectors = np.concatenate([np.add.reduceat(index.basis[col], first), np.zeros((1, index.basis.shape[1]), np.float32)])
-    for width, stride in ((2, 1), (4, 2)):
-        start = np.arange(n)
-        start = start[(start - begin[row]) % stride == 0]
-        end = np.minimum(start + width, last[start])
-        start, end = (x[sums[end] - sums[start] >= index.fewest] for x in (start, end))
-        for a in range(0, len(start), 4096):
-            s, e = start[a : a + 4096], end[a : a + 4096]
-            v = sum(vectors[dense[np.where(s + k < e, s + k, n)]] for k in range(width))
-            norm = np.sqrt((v * v).sum(axis=1))
-            cosine = (v @ index.vectors.T) / np.maximum(norm, 1e-12)[:, None]
-            for i, piece in zip(*np.nonzero(cosine >= index.least_cosine)):
-                r = int(row[s[i]])
-                low = int(w.first[r] + (s[i] - begin[r]) * STEP)
-                yield r, low, int(min(w.first[r + 1], low + width * STEP)), int(piece), float(cosine[i, piece])
-
-
-def _stretches(index: Index, w: Words) -> Iterator[tuple[int, int, int, int]]:
-    """(row, first word, end word, item) of each stretch with enough words of a light item, those with most words first.
-
-    Stretches start at every step-th word and at each row's first and are longer by step, so any of span words is in one.
-    """
-    at, col = index.terms.hits(w.hash) if index.light else ((), ())
-    look = np.zeros(len(index.terms.hashes), bool)
-    for k in index.light:
-        item = index.items[k]
-        own = np.searchsorted(index.terms.hashes, item)
-        look[own] = True
-        places = at[look[col]]
-        look[own] = False
-        if len(places) < index.least_lcs * len(item):
-            continue
-        span = math.ceil(len(item) / index.least_lcs)
-        step = max(1, span // 8)
-        start = np.union1d(np.arange(0, len(w.hash), step), w.first[:-1])
-        start = start[start < len(w.hash)]
-        row = np.searchsorted(w.first, start, "right") - 1
-        end = np.minimum(start + span + step, w.first[row + 1])
-        number = np.searchsorted(places, end) - np.searchsorted(places, start)
-        good = np.flatnonzero(number / len(item) >= index.least_lcs)
-        for i in good[np.argsort(-number[good], kind="stable")]:
-            yield int(row[i]), int(start[i]), int(end[i]), k
-
-
-def _alike(item: np.ndarray, region: np.ndarray) -> float:
-    """Cosine of the word counts."""
-    (x, n), (y, m) = (np.unique(a, return_counts=True) for a in (item, region))
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    return float((n[i] * m[j]).sum() / math.sqrt(float((n * n).sum()) * float((m * m).sum())))
+    first_hit = np.searchsorted(part, np.arange(n + 1))
+    pieces = np.searchsorted(index.owner, np.arange(len(index.sizes) + 1))
+    # Documents are taken together while the (term, item) pairs to look at are few enough to hold; a long one, a part of the items at a time.
+    ends = first_hit[begin]
+    held = np.diff(np.searchsorted(index.rare, np.arange(len(index.scaled) + 1) * len(index.sizes)))
+    total = np.concatenate([[0], np.cumsum(held[s.col])])[ends]
+    at = 0
+    while at < len(s.n):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        own = slice(ends[at], ends[to])
+        cuts = np.linspace(0, len(index.sizes), 1 + max(1, min(len(index.sizes), -(-int(total[to] - total[at]) // most)))).astype(int).tolist()
+        for (width, stride), some in product(WINDOWS, pairwise(cuts)):
+            start, item = _near(index, s, part, begin, row, own, some, width, stride)
+            count = pieces[item + 1] - pieces[item]
+            start, piece = np.repeat(start, count), _spread_out(pieces[item], count)
+            mine = start[_runs(start)]
+            for a in range(0, len(mine), windows):
+                b = mine[a : a + windows]
+                e = np.minimum(b + width, begin[row[b] + 1])
+                need = distinct(np.concatenate([np.minimum(b + k, e - 1) for k in range(width)]))
+                count = first_hit[need + 1] - first_hit[need]
+                hits = _spread_out(first_hit[need], count)
+                blocks = np.zeros((len(need) + 1, index.scaled.shape[1]), np.float32)  # the last one stays zero
+                full = np.flatnonzero(count)
+                if len(full):
+                    blocks[full] = np.add.reduceat(index.scaled[s.col[hits]], np.cumsum(count[full]) - count[full])
+                v = sum(blocks[np.where(b + k < e, np.searchsorted(need, np.minimum(b + k, e - 1)), len(need))] for k in range(width))
+                v /= np.maximum(np.sqrt((v * v).sum(axis=1)), 1e-12)[:, None]
+                low, high = np.searchsorted(start, (b[0], b[-1] + 1))
+                for c in range(low, high, 1 << 14):
+                    which, of = np.searchsorted(b, start[c : min(c + (1 << 14), high)]), piece[c : min(c + (1 << 14), high)]
+                    cosine = (v[which] * index.vectors[of]).sum(axis=1)
+                    for i in np.flatnonzero(cosine >= index.least_cosine):
+                        r, p = int(row[b[which[i]]]), int(of[i])
+                        first = int(b[which[i]] - begin[r]) * STEP
+                        yield r, first, min(int(s.n[r]), first + width * STEP), int(_reach(index.sizes[index.owner[p]], width)), p, float(cosine[i])
+        at = to
 
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
-        for rows, data, bounds in chunks(batches):
-            w = Words(data, bounds)
+        for s in _slices(batches, 1 << 18):
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            tried: dict[tuple[int, int, int], None] = {}
-
-            def check(r: int, k: int, region: np.ndarray, cosine: float | None) -> None:
-                item, have = index.items[k], best.get((r, k))
-                answer = float(np.isin(index.answers[k], region).mean()) if len(index.answers[k]) else 1.0
-                if answer < index.least_answer:
-                    return
-                share = lcs(item, region) / len(item)
-                if share >= index.least_lcs and (have is None or share > have[1]):
-                    best[r, k] = (_alike(item, region) if cosine is None else cosine, share, answer)
-
-            for r, low, high, piece, cosine in _windows(index, w):
+            tried: set[tuple[int, int, int, int]] = set()
+            first = np.searchsorted(s.row, np.arange(len(s.n) + 1))
+            for r, low, high, reach, piece, cosine in _windows(index, s):
                 k = int(index.owner[piece])
-                item = index.items[k]
-                have = best.get((r, k))
+                n, have = index.sizes[k], best.get((r, k))
                 if have and have[1] == 1.0:
                     continue
-                # A window may hold any part of the item: look as far on both sides as the item could reach.
-                reach = max(STEP, len(item) - (high - low) + STEP)
-                a, b = max(int(w.first[r]), low - reach), min(int(w.first[r + 1]), high + reach)
-                if (r, k, a) in tried:
+                a, b = (int(first[r] + x) for x in np.searchsorted(s.pos[first[r] : first[r + 1]], (low - reach, high + reach)))
+                if (r, k, a, b) in tried:
+                    continue
+                tried.add((r, k, a, b))
+                region, masks, answers = s.col[a:b].tolist(), index.masks[k], index.answers[k]
+                if sum(x in masks for x in region) < index.least_lcs * n - 1e-9:
+                    continue
+                answer = len(answers.intersection(region)) / len(answers) if answers else 1.0
+                if answer < index.least_answer:
                     continue
-                tried[r, k, a] = None
-                check(r, k, w.hash[a:b], cosine)
-            for r, a, b, k in _stretches(index, w):
-                if best.get((r, k), (0.0, 0.0))[1] < 1.0:
-                    check(r, k, w.hash[a:b], None)
+                share = lcs(masks, n, region) / n
+                if share >= index.least_lcs and (have is None or share > have[1]):
+                    best[r, k] = (cosine, share, answer)
             if best:
-                ids = rows.column("doc_id").to_pylist()
+                ids = s.rows.column("doc_id").to_pylist()
                 yield record(_FOUND)([ids[r] for r, _ in best], [index.ids[k] for _, k in best], *map(list, zip(*best.values())))
 
     return run
 
 
-def _fit(docs: DataFrame, items: list, rank: int, max_df: float, limits: tuple[float, float, float], seed: int) -> Index | None:
-    spark = docs.sparkSession
-    n = partitions(spark)
-    words = words_of([r["text"] for r in items])
-    full = [i for i, x in enumerate(words) if len(x)]
-    if not full:
-        return None
-    items, words = [items[i] for i in full], [words[i] for i in full]
-    answers = words_of([r["answer"] for r in items]) if "answer" in items[0].__fields__ else [np.zeros(0, np.uint64)] * len(items)
-    terms = Terms(np.unique(np.concatenate(words)))
-    size = len(terms.hashes)
+def _fit(hits: DataFrame, terms: Terms, ids: list, words: list[np.ndarray], answers: list[np.ndarray], rank: int, limits: tuple[float, float, float], seed: int) -> Index | None:
+    """The index of items (term numbers), from the terms' places in all documents."""
+    n, size = partitions(hits.sparkSession), len(terms.hashes)
     df = np.zeros(size, np.int64)
     passages = 0
-    for r in docs.select("text").mapInArrow(_spread(terms), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():  # a row per term
+    for r in hits.mapInArrow(_spread(size), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():  # a row per term
         if r["term"] < 0:
             passages = r["df"]
         else:
             df[r["term"]] = r["df"]
     if not passages:
         return None
-    idf = np.log((1 + passages) / (1 + df))
-    idf[df > max_df * passages] = 0
-    rank = max(1, min(rank, int((idf > 0).sum()), len(items) + 32))
-    block = max(1, (4 << 20) // (4 * rank))
-    sketch = docs.select("text").mapInArrow(_sketch(terms, idf, rank, seed, block), "block int, z binary")
+    idf, head = 1 + np.log((1 + passages) / (1 + df)), _head(df)
+    rank = max(1, min(rank, size, len(words) + 32))
+    # As many blocks as partitions, so that the sums of all tasks' products are dealt over all of them.
+    block = max(1, -(-size // n))
+    sketch = hits.mapInArrow(_sketch(idf, head, rank, seed, block), "block int, z binary")
     z = np.zeros((size, rank))
-    added = dealt(sketch.withColumn("to", F.col("block") % n), "to", n).select("block", "z").mapInArrow(_add_blocks, "block int, z binary")
-    for r in added.toLocalIterator() if (idf > 0).any() else ():
+    for r in dealt(sketch, "block", n).mapInArrow(_add_blocks, "block int, z binary").toLocalIterator():  # terms x rank in all
         rows = np.frombuffer(bytes(r["z"])).reshape(-1, rank)
         z[r["block"] * block : r["block"] * block + len(rows)] += rows
     pieces = [(k, x[a : a + PIECE] if len(x) > PASSAGE else x) for k, x in enumerate(words) for a in (range(0, len(x), PIECE) if len(x) > PASSAGE else (0,))]
-    part, col = (np.concatenate(x) for x in zip(*((np.full(len(p), i), terms.hits(p)[1]) for i, (_, p) in enumerate(pieces))))
-    own = weighted(part, col, idf)
-    z /= max(passages, 1)
-    if len(own[0]):
-        omega = np.random.default_rng(seed).standard_normal((size, rank)).astype(np.float32)
-        c, rows = _back(*own, omega)
-        z[c] += rows / len(pieces)
-    basis, _ = np.linalg.qr(z)
+    part, col = np.concatenate([np.full(len(p), i) for i, (_, p) in enumerate(pieces)]), np.concatenate([p for _, p in pieces])
+    own_part, own_col, value = weighted(part, col, idf)
+    own = np.zeros((size, rank), np.float32)
+    _back(own_part, own_col, value.astype(np.float32), _omega(size, rank, seed), own, head)
+    basis, _ = np.linalg.qr(z / passages + own / len(pieces))
     # Linear term counts make the vector of a window the sum of its blocks' vectors.
-    raw = np.zeros((len(pieces), size))
-    np.add.at(raw, (part, col), idf[col])
-    vectors = raw @ basis
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
-    kept = np.bincount(part, idf[col] > 0, minlength=len(pieces))
     scaled = (basis * idf[:, None]).astype(np.float32)
-    rare = [np.isin(x, terms.hashes[idf > 0]) for x in words]
-    light = [k for k, x in enumerate(rare) if x.mean() < 0.5]
-    few = set(light)
-    rare = [np.unique(x if k in few else x[kept_words]) for k, (x, kept_words) in enumerate(zip(words, rare))]
-    answers = [a if len(a) else r for a, r in zip(answers, rare)]
-    return Index(terms, idf, scaled, vectors.astype(np.float32), np.array([k for k, _ in pieces]), [r["item_id"] for r in items], words, answers, light, max(1, int(0.4 * kept.min())), *limits)
+    vectors = np.add.reduceat(scaled[col], _runs(part))
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
+    halves = [distinct(x) for x in words]
+    halves = [x[np.lexsort((x, df[x]))][: -(-len(x) // 2)] for x in halves]
+    told = [set((a if len(a) else h).tolist()) for a, h in zip(answers, halves)]
+    owner = np.array([k for k, _ in pieces])
+    return Index(scaled, vectors, owner, ids, [len(x) for x in words], [item_masks(x) for x in words], told, *signatures(words, df, limits[1]), *limits)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, max_df: float = 0.1, least_cosine: float = 0.4, least_lcs: float = 0.6, least_answer: float = 0.5, block_items: int = 4096, seed: int = 11) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 128, least_cosine: float = 0.4, least_lcs: float = 0.6, least_answer: float = 0.5, block_items: int = 4096, seed: int = 11) -> DataFrame:
     """Pairs of documents and benchmark items they hold: doc_id, item_id, cosine, lcs, answer (shares of the item).
 
     docs: doc_id, text; benchmark: item_id, text and maybe answer; other columns are ignored. Null and empty texts hold
@@ -345,10 +414,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, max_df: f
     blocks = max(1, -(-asked.count() // block_items))
     out = []
     for b in range(blocks):
-        items = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        index = _fit(plain, items, rank, max_df, (least_cosine, least_lcs, least_answer), seed) if items else None
+        items = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()  # block_items or so
+        words = words_of([r["text"] for r in items])
+        answers = words_of([r["answer"] for r in items]) if "answer" in asked.columns else [np.zeros(0, np.uint64)] * len(items)
+        full = [i for i, x in enumerate(words) if len(x)]
+        if not full:
+            continue
+        terms = Terms(distinct(np.concatenate([x[i] for x in (words, answers) for i in full])))
+        number = lambda lists: [np.searchsorted(terms.hashes, lists[i]) for i in full]
+        hits = stored(plain.mapInArrow(_locate(terms), _HITS_SQL), "leak-terms")
+        index = _fit(hits, terms, [items[i]["item_id"] for i in full], number(words), number(answers), rank, (least_cosine, least_lcs, least_answer), seed)
         if index is not None:
-            out.append(stored(plain.mapInArrow(_search(spark.sparkContext.broadcast(index)), _FOUND_SQL), "leaks"))
+            shared = spark.sparkContext.broadcast(index)
+            out.append(stored(hits.mapInArrow(_search(shared), _FOUND_SQL), "leaks"))
+            shared.destroy()
+        discard(hits)
     if not out:
         return spark.createDataFrame([], _FOUND_SQL)
     found = out[0]
