@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, chunks, dealt, mix, partitions, powers, prefix_hashes, record, span_hashes, stored
+from .common import as_long, chunks, dealt, distinct, mix, partitions, powers, prefix_hashes, record, span_hashes, stored
 
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
 #: Groups of more surviving segments are resolved by sorting the hashes of their strings instead of pair by pair.
@@ -123,7 +123,7 @@ def _repeated_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     h, key, span = map(np.concatenate, (hs, keys, spans))
     del hs, keys, spans
     s = np.sort(h)
-    twice = np.unique(s[1:][s[1:] == s[:-1]])
+    twice = distinct(s[1:][s[1:] == s[:-1]])
     at = np.searchsorted(twice, h)
     at[at == len(twice)] = 0
     some = np.flatnonzero(twice[at] == h) if len(twice) else np.zeros(0, np.int64)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import SPACE, Words, mix, prefix_hashes, span_hashes
+from .common import SPACE, Words, distinct, mix, prefix_hashes, span_hashes
 
 #: Byte classes: upper, lower, digit, symbol, stop, comma, loud, quote, other ASCII, space, newline, lead byte, continuation.
 UPPER, LOWER, DIGIT, SYMBOL, STOP, COMMA, LOUD, QUOTE, OTHER, BLANK, LINE, LEAD, MORE = range(13)
@@ -26,7 +26,7 @@ def _keyed(h: np.ndarray, salt: np.ndarray) -> np.ndarray:
 def _repeats(keys: np.ndarray) -> np.ndarray:
     """Which entries occur twice or more."""
     s = np.sort(keys)
-    twice = np.unique(s[1:][s[1:] == s[:-1]])
+    twice = distinct(s[1:][s[1:] == s[:-1]])
     if not len(twice):
         return np.zeros(len(keys), bool)
     at = np.searchsorted(twice, keys)
