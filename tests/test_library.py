@@ -182,5 +182,5 @@ def test_crosstab_counts_every_source(spark):
     from weftline import catalogue
 
     rows = [("a", "src0")] * 3 + [("a", "src7")] * 2 + [("b", "elsewhere"), ("b", None)]
-    out = catalogue.crosstab_lang_source_all(SimpleNamespace(documents=spark.createDataFrame(rows, "lang string, source string"))).collect()
+    out = catalogue.crosstab_lang_source(SimpleNamespace(documents=spark.createDataFrame(rows, "lang string, source string"))).collect()
     assert {(r.lang, r.source): r.n for r in out} == {("a", "src0"): 3, ("a", "src7"): 2, ("b", "elsewhere"): 1, ("b", None): 1}

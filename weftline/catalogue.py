@@ -203,13 +203,14 @@ FROM (SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS first, c
 
 
 def decided(t: Tables) -> DataFrame:
-    d = t.documents.withColumn("d", rules.decide(rules.document_rules()))
-    return d.select("doc_id", "text", "lang", "d.disposition", "d.reason", F.array_join(rules.gather(rules.document_flags()), "|").alias("flags"))
+    every = rules.document_rules()
+    d = t.documents.withColumn("_rule", rules.decide(every))
+    return d.select("doc_id", "text", "lang", *rules.named(every, F.col("_rule")), F.array_join(rules.gather(rules.document_flags()), "|").alias("flags"))
 
 
 def ledger_rows(t: Tables) -> DataFrame:
-    # The key is hashed, so that texts aren't shuffled.
-    rows = decided(t).withColumn("_key", F.sha2(X.key(F.col("text")).cast("binary"), 256)).drop("text")
+    # The key is hashed, so that texts aren't shuffled; rules run once, then only the small rows are read.
+    rows = stored(decided(t).withColumn("_key", F.sha2(X.key(F.col("text")).cast("binary"), 256)).drop("text"), "decided")
     return R.ledger(rows, ["lang", "_key"], [F.col("doc_id")], "doc_id").select("doc_id", "disposition", "reason", "flags", "canonical_id", "group_size")
 
 
@@ -240,14 +241,14 @@ def dedup_ledger(t):
 
 @query(f"SELECT doc_id, size AS group_size FROM (SELECT doc_id, row_number() OVER (PARTITION BY {_key('text')} ORDER BY doc_id) AS n, count(*) OVER (PARTITION BY {_key('text')}) AS size FROM documents) WHERE n = 1")
 def dedup_keep_first(t):
-    d = t.documents.select("doc_id", F.sha2(X.key(F.col("text")).cast("binary"), 256).alias("k"))
-    return R.keep_first(d, ["k"], [F.col("doc_id")], "doc_id").where("_rank = 1").select("doc_id", "group_size")
+    d = stored(t.documents.select("doc_id", F.sha2(X.key(F.col("text")).cast("binary"), 256).alias("k")), "keys")
+    return R.keep_first(d, ["k"], [F.col("doc_id")], "doc_id").where("_kept").select("doc_id", "group_size")
 
 
 @query(f"SELECT doc_id, first_value(doc_id) OVER (PARTITION BY k ORDER BY p, doc_id) AS canonical_id FROM (SELECT d.doc_id, {_key('text')} AS k, CASE WHEN l.doc_id IS NULL THEN 1 ELSE 0 END AS p FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id)")
 def dedup_priority(t):
     known = t.labels.select("doc_id").distinct().withColumn("known", F.lit(0))
-    d = t.documents.select("doc_id", F.sha2(X.key(F.col("text")).cast("binary"), 256).alias("k")).join(known, "doc_id", "left")
+    d = stored(t.documents.select("doc_id", F.sha2(X.key(F.col("text")).cast("binary"), 256).alias("k")).join(known, "doc_id", "left"), "keys")
     return R.keep_first(d, ["k"], [F.coalesce("known", F.lit(1)), F.col("doc_id")], "doc_id").select("doc_id", "canonical_id")
 
 
@@ -287,7 +288,7 @@ def pair_quality(t):
 def release_projection(t):
     # A dense id without one global window: counts per range partition are added up, then rows are numbered inside them.
     d = t.documents.select("doc_id", R.control_prefix(to=F.col("lang"), src=F.col("source")).alias("prefix"))
-    d = stored(d.repartitionByRange(16, "doc_id").withColumn("part", F.spark_partition_id()), "release")
+    d = stored(d.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "release")
     size = d.groupBy("part").agg(F.count("*").alias("n"))
     before = size.alias("a").join(size.alias("b"), F.expr("b.part < a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
     inner = F.row_number().over(Window.partitionBy("part").orderBy("doc_id"))
@@ -369,48 +370,72 @@ def edit_self_conflicts(t):
     return similarity.edit_conflicts(p, p, "x", ["scope"], "p_partkey").select("p_partkey")
 
 
-_GRAMS = "list_distinct(CASE WHEN length(x) = 0 THEN [] WHEN length(x) < 3 THEN [x] ELSE flatten([list_transform(range(1, length(x) - 1), lambda i: substr(x, CAST(i AS INT), 3)), list_transform(range(1, greatest(length(x) - 2, 1)), lambda i: substr(x, CAST(i AS INT), 4)), list_transform(range(1, greatest(length(x) - 3, 1)), lambda i: substr(x, CAST(i AS INT), 5))]) END)"
+_GRAMS = "list_distinct(CASE WHEN len(c) = 0 THEN [] WHEN len(c) < 3 THEN [array_to_string(c, '')] ELSE flatten([list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]), list_transform(range(1, greatest(len(c) - 2, 1)), lambda i: c[i] || c[i + 1] || c[i + 2] || c[i + 3]), list_transform(range(1, greatest(len(c) - 3, 1)), lambda i: c[i] || c[i + 1] || c[i + 2] || c[i + 3] || c[i + 4])]) END)"
 
 
 def _gram_pairs(rows: str, t: float) -> str:
-    return f"""WITH g AS (SELECT i, s, {_GRAMS} AS g FROM ({rows})), e AS (SELECT i, s, len(g) AS n, unnest(g) AS x FROM g),
+    return f"""WITH g AS (SELECT i, s, {_GRAMS} AS g FROM (SELECT i, s, CASE WHEN x = '' THEN [] ELSE string_split(x, '') END AS c FROM ({rows}))), e AS (SELECT i, s, len(g) AS n, unnest(g) AS x FROM g),
 c AS (SELECT a.i AS a, b.i AS b, a.n AS na, b.n AS nb, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.s = b.s AND a.i < b.i GROUP BY ALL)
 SELECT a, b, k / (na + nb - k) AS jaccard FROM c WHERE k / (na + nb - k) >= {t}"""
 
 
-_TURNS = f"SELECT conv_id * 1000 + turn AS i, role AS s, {_key('text')} AS x FROM conversations"
+# Turns, and an edited copy of every seventh conversation's turns under a number below zero, so that there are near copies.
+_TURNS = f"SELECT conv_id * 1000 + turn AS i, role AS s, {_key('text')} AS x FROM conversations UNION ALL SELECT -1 - (conv_id * 1000 + turn), role, {_key("text || ' ' || role")} FROM conversations WHERE conv_id % 7 = 0"
+
+
+def turns(t: Tables) -> DataFrame:
+    c = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("i"), F.col("role").alias("s"), "text", "conv_id")
+    return c.drop("conv_id").union(c.where("conv_id % 7 = 0").select(-1 - F.col("i"), "s", F.concat_ws(" ", "text", "s")))
 
 
 @query(_gram_pairs(_TURNS, 0.9))
 def ngram_jaccard_join(t):
-    c = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("i"), F.col("role").alias("s"), "text")
-    return similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.9)
+    return similarity.ngram_pairs(turns(t), None, "i", X.key(F.col("text")), ["s"], 0.9)
+
+
+# Four legs: near copies and edit neighbours, of the side's own text (src) and of the text it answers (tgt).
+_NEAR_ROWS = "SELECT row_id, src, tgt FROM ({p}) UNION ALL SELECT -1 - row_id, src || ' ' || substr(src, 1, 9), tgt FROM ({p}) WHERE row_id % 11 = 0 UNION ALL SELECT -500000000 - row_id, 'x', substr(tgt, 2) FROM ({p}) WHERE row_id % 13 = 0".format(p=PAIRS)
+
+
+def _near_leg(c: str, t: float) -> str:
+    keyed = f"SELECT row_id AS i, 'x' AS s, {_key(c)} AS x FROM ({_NEAR_ROWS})"
+    near = f"SELECT unnest([a, b]) AS i FROM ({_gram_pairs(keyed, t)})"
+    return near + f" UNION SELECT i FROM (SELECT i, x, unnest({_DEL}) AS k FROM ({keyed}) WHERE length(x) <= 60 AND x <> '') JOIN (SELECT k FROM (SELECT i, unnest({_DEL}) AS k FROM ({keyed}) WHERE length(x) <= 60 AND x <> '') GROUP BY k HAVING count(*) > 1) USING (k)"
+
 
+def near_rows(t: Tables) -> DataFrame:
+    p = pairs(t)
+    edited = p.where("row_id % 11 = 0").select(-1 - F.col("row_id"), F.concat_ws(" ", "src", F.substring("src", 1, 9)), "tgt")
+    cut = p.where("row_id % 13 = 0").select(-500000000 - F.col("row_id"), F.lit("x"), F.expr("substring(tgt, 2)"))
+    return p.union(edited).union(cut)
 
-@query(f"SELECT DISTINCT i FROM (SELECT unnest([a, b]) AS i FROM ({_gram_pairs(_TURNS, 0.95)}))")
+
+@query(f"{_near_leg('src', 0.95)} UNION {_near_leg('tgt', 0.95)}")
 def near_conflicts(t):
-    c = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("i"), F.col("role").alias("s"), "text")
-    p = similarity.ngram_pairs(c, None, "i", X.key(F.col("text")), ["s"], 0.95)
-    return p.select(F.explode(F.array("a", "b")).alias("i")).distinct()
+    rows = near_rows(t).select(F.col("row_id").alias("i"), F.lit("x").alias("s"), X.key(F.col("src")).alias("src"), X.key(F.col("tgt")).alias("tgt"))
+    return similarity.near_conflicts(stored(rows, "near-rows"), "i", ["src", "tgt"], ["s"], 0.95, most_edit=60).select("i")
+
 
+def _chars(x: str) -> str:
+    return f"CASE WHEN {x} = '' THEN [] ELSE string_split({x}, '') END"
 
-_KNN = f"""WITH e AS (SELECT i, len(g) AS n, unnest(g) AS x FROM (SELECT item_id AS i, {_GRAMS} AS g FROM (SELECT item_id, {_key('text')} AS x FROM benchmark))),
-c AS (SELECT a.i AS query, b.i AS neighbour, a.n AS na, b.n AS nb, count(*) AS shared FROM e a JOIN e b ON a.x = b.x AND a.i <> b.i GROUP BY ALL)
+
+_KNN = f"""WITH q AS (SELECT i, len(g) AS n, unnest(g) AS x FROM (SELECT item_id AS i, {_GRAMS} AS g FROM (SELECT item_id, {_chars(_key('text'))} AS c FROM benchmark))),
+d AS (SELECT i, len(g) AS n, unnest(g) AS x FROM (SELECT doc_id AS i, {_GRAMS} AS g FROM (SELECT doc_id, {_chars(_key('text'))} AS c FROM documents))),
+c AS (SELECT q.i AS query, d.i AS neighbour, q.n AS na, d.n AS nb, count(*) AS shared FROM q JOIN d ON q.x = d.x GROUP BY ALL)
 SELECT query, neighbour, shared, shared / (na + nb - shared) AS jaccard, row_number() OVER (PARTITION BY query ORDER BY shared / (na + nb - shared) DESC, neighbour) AS rank FROM c"""
 
 
 @query(f"SELECT * FROM ({_KNN}) WHERE rank <= 3")
 def knn_exposure_topk(t):
-    b = t.benchmark
-    found = similarity.nearest(b, b, "item_id", X.key(F.col("text")), 4).where("query <> neighbour")
-    w = Window.partitionBy("query").orderBy(F.desc("jaccard"), "neighbour")
-    return found.withColumn("rank", F.row_number().over(w).cast("long")).where("rank <= 3")
+    """The nearest documents of each benchmark item."""
+    return similarity.nearest(t.benchmark.withColumn("i", F.col("item_id")), t.documents.withColumn("i", F.col("doc_id")), "i", X.key(F.col("text")), 3)
 
 
-@query(f"SELECT count(*) AS items, avg(jaccard) AS mean_nearest, avg(CAST(jaccard >= 0.7 AS INT)) AS over_70, avg(CAST(jaccard >= 0.85 AS INT)) AS over_85, avg(CAST(jaccard >= 0.95 AS INT)) AS over_95 FROM ({_KNN}) WHERE rank = 1")
+@query(f"SELECT count(*) AS items, avg(jaccard) AS mean_nearest, avg(CAST(jaccard >= 0.1 AS INT)) AS over_10, avg(CAST(jaccard >= 0.7 AS INT)) AS over_70, avg(CAST(jaccard >= 0.85 AS INT)) AS over_85, avg(CAST(jaccard >= 0.95 AS INT)) AS over_95 FROM ({_KNN}) WHERE rank = 1")
 def exposure_thresholds(t):
     top = knn_exposure_topk(t).where("rank = 1")
-    return top.agg(F.count("*").alias("items"), F.avg("jaccard").alias("mean_nearest"), *(F.avg((F.col("jaccard") >= q / 100).cast("int")).alias(f"over_{q}") for q in (70, 85, 95)))
+    return top.agg(F.count("*").alias("items"), F.avg("jaccard").alias("mean_nearest"), *(F.avg((F.col("jaccard") >= q / 100).cast("int")).alias(f"over_{q}") for q in (10, 70, 85, 95)))
 
 
 _EDGES = f"SELECT DISTINCT a.x AS a, b.x AS b FROM ({_NAMES}) a JOIN ({_NAMES}) b ON a.k = b.k AND a.x <> b.x"
@@ -484,13 +509,16 @@ def hard_split_invariants(t):
 # ---- reports ----
 
 
-@query("SELECT lang, count(*) FILTER (source = 'src0') AS src0, count(*) FILTER (source = 'src1') AS src1, count(*) FILTER (source = 'src2') AS src2 FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY lang")
-def crosstab_lang_source(t):
-    return t.documents.where("source in ('src0', 'src1', 'src2')").groupBy("lang").pivot("source", ["src0", "src1", "src2"]).agg(F.count(F.lit(1))).na.fill(0)
+_SPLIT = "CASE WHEN doc_id % 20 < 17 THEN 'train' WHEN doc_id % 20 = 17 THEN 'validate' ELSE 'test' END"
+
+
+@query(f"SELECT lang, count(*) FILTER (s = 'train') AS train, count(*) FILTER (s = 'validate') AS validate, count(*) FILTER (s = 'test') AS test FROM (SELECT lang, {_SPLIT} AS s FROM documents) GROUP BY lang")
+def crosstab_lang_split(t):
+    return t.documents.withColumn("s", F.expr(_SPLIT)).groupBy("lang").pivot("s", ["train", "validate", "test"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 @query("SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source")
-def crosstab_lang_source_all(t):
+def crosstab_lang_source(t):
     return t.documents.groupBy("lang", "source").agg(F.count("*").alias("n"))
 
 

@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def with_totals(df: DataFrame, keys: list[str], ident: str, **totals: tuple[str, Column]) -> DataFrame:
+    """df with columns of totals over all rows of a key; each is the name of an aggregate (min, max, sum) and its input.
+
+    No window: totals are added up per key and one of n salts first, then per key, and come back per key and salt, so that
+    no task meets all rows of a key that a third of the table may have. Null keys are a key of their own.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = {f"_k{i}": F.col(k) for i, k in enumerate(keys)}
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(ident), F.lit(n)))
+    add = lambda df, inputs: [getattr(F, kind)(inputs(name, column)).alias(name) for name, (kind, column) in totals.items()]
+    parts = salted.groupBy(*[c.alias(k) for k, c in named.items()], "_salt").agg(*add(df, lambda name, column: column))
+    whole = parts.groupBy(*named).agg(*add(parts, lambda name, column: F.col(name)))
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    back = parts.drop(*totals).alias("p").join(whole.alias("w"), reduce(lambda x, y: x & y, (same(f"p.{k}", f"w.{k}") for k in named))).select(*(F.col(f"p.{k}") for k in named), F.col("_salt").alias("_at"), *(F.col(f"w.{t}") for t in totals))
+    on = reduce(lambda x, y: x & y, (same(k, f"_k{i}") for i, k in enumerate(keys))) & (F.col("_salt") == F.col("_at"))
+    return salted.join(back, on).drop(*named, "_salt", "_at")
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], ident: str) -> DataFrame:
-    """df with _rank (1 = kept), group_size and canonical_id per key, by the given order (unique last)."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({"_rank": F.row_number().over(w.orderBy(*order)), "group_size": F.count("*").over(w), "canonical_id": F.first(ident).over(w.orderBy(*order))})
+    """df with _kept (the first of its key by the given order, which ends with the unique ident), group_size and canonical_id."""
+    first = F.struct(*(c.alias(f"_o{i}") for i, c in enumerate(order)), F.col(ident).alias("_id"))
+    out = with_totals(df.withColumns({"_first": first, "_one": F.lit(1).cast("long")}), keys, ident, _least=("min", F.col("_first")), group_size=("sum", F.col("_one")))
+    return out.withColumn("canonical_id", F.col("_least._id")).withColumn("_kept", F.col("canonical_id").eqNullSafe(F.col(ident))).drop("_first", "_one", "_least")
 
 
 def ledger(df: DataFrame, keys: list[str], order: list[Column], ident: str) -> DataFrame:
-    """Every row with its disposition: accepted, duplicate (of canonical_id), or what it had before."""
-    open_ = keep_first(df.where("disposition = 'accepted'"), keys, order, ident)
-    done = open_.withColumn("disposition", F.when(F.col("_rank") > 1, "duplicate").otherwise("accepted")).drop("_rank")
-    rest = df.where("disposition <> 'accepted'").withColumns({"group_size": F.lit(1).cast("long"), "canonical_id": F.col(ident)})
-    return done.unionByName(rest)
+    """Every row with its disposition: accepted, duplicate (of canonical_id), or what it had before.
+
+    Rows that aren't accepted are keys of their own, so the input is read as one table.
+    """
+    own = F.when(F.col("disposition") != "accepted", F.col(ident).cast("string"))
+    out = keep_first(df.withColumn("_own", own), [*keys, "_own"], order, ident)
+    return out.withColumn("disposition", F.when((F.col("disposition") == "accepted") & ~F.col("_kept"), "duplicate").otherwise(F.col("disposition"))).drop("_kept", "_own")
 
 
 def conservation(df: DataFrame) -> DataFrame:

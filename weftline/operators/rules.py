@@ -18,9 +18,15 @@ class Rule:
 
 
 def decide(rules: list[Rule]) -> Column:
-    """struct(disposition, reason) of the first rule that holds; accepted with an empty reason if none does."""
-    first = F.coalesce(*(F.when(r.holds, F.struct(F.lit(r.disposition).alias("disposition"), F.lit(r.reason).alias("reason"))) for r in rules), F.struct(F.lit("accepted").alias("disposition"), F.lit("").alias("reason")))
-    return first
+    """Number of the first rule that holds, from 0; null if none does. Put it into a column of its own before naming it:
+    one number is found once, where a struct's fields would each run through the rules again."""
+    return F.coalesce(*(F.when(r.holds, F.lit(i)) for i, r in enumerate(rules)))
+
+
+def named(rules: list[Rule], number: Column) -> tuple[Column, Column]:
+    """disposition and reason of a rule's number; accepted and an empty reason for null."""
+    pick = lambda names, none: F.coalesce(F.try_element_at(F.array(*map(F.lit, names)), number + 1), F.lit(none))
+    return pick([r.disposition for r in rules], "accepted").alias("disposition"), pick([r.reason for r in rules], "").alias("reason")
 
 
 def gather(flags: list[tuple[str, Column]]) -> Column:
@@ -224,8 +230,9 @@ def pair_rules(src: str = "src", tgt: str = "tgt", language: str = "english", me
 def judge_pairs(pairs: DataFrame, src: str = "src", tgt: str = "tgt", **options) -> DataFrame:
     """pairs with disposition, reason and flags (of accepted rows)."""
     rules, flags = pair_rules(src, tgt, **options)
-    out = pairs.withColumn("_decision", decide(rules))
-    return out.select(*pairs.columns, F.col("_decision.disposition").alias("disposition"), F.col("_decision.reason").alias("reason"), F.when(F.col("_decision.disposition") == "accepted", gather(flags)).otherwise(F.array().cast("array<string>")).alias("flags"))
+    out = pairs.withColumn("_rule", decide(rules))
+    disposition, reason = named(rules, F.col("_rule"))
+    return out.select(*pairs.columns, disposition, reason, F.when(F.col("_rule").isNull(), gather(flags)).otherwise(F.array().cast("array<string>")).alias("flags"))
 
 
 def document_rules(text: str = "text", most_tokens: int = 2000) -> list[Rule]:
