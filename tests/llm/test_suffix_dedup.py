@@ -6,7 +6,6 @@ from collections import Counter
 
 import numpy as np
 
-from weftline.llm import suffix_dedup
 from weftline.llm.suffix_dedup import Suffixes, remove_repeats
 
 
@@ -43,12 +42,11 @@ def make(seed):
     return rows + [(200, rows[3][1], "y", 1), (None, rows[4][1] + "z", "y", 1), (201, None, None, None), (202, "", "", 0), (203, "ab" * 200, "p", 1), (204, "a" * 300, "p", 1), (7, rows[7][1], "x", 2)]
 
 
-def test_matches_brute_force(spark, monkeypatch):
-    for seed, length, gram, most in ((1, 40, 16, 64), (2, 48, 8, 4)):
-        monkeypatch.setattr(suffix_dedup, "PAIRS_MOST", most)
+def test_matches_brute_force(spark):
+    for seed, length, gram, most in ((1, 40, 16, 4096), (2, 48, 8, 4), (3, 40, 16, 1)):
         rows = make(seed)
         docs = spark.createDataFrame(rows, "doc_id long, text string, text_key string, n_bytes long")
-        out = remove_repeats(docs, length, gram).collect()
+        out = remove_repeats(docs, length, gram, most).collect()
         assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out), key=str) == brute(rows, length)
         assert all(sum(r.spans[1::2]) - sum(r.spans[::2]) == r.n_removed for r in out)
     assert remove_repeats(docs.limit(0)).collect() == []

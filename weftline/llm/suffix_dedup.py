@@ -9,11 +9,11 @@ least hash of `gram` bytes) at equal offsets, so:
    task sends one copy of each on.
 3. A bucket sorts the different segments of an anchor as suffixes that start at the anchor: a mergesort that compares two
    suffixes by binary search for their common extension on prefix polynomial hashes. The common extensions of neighbours
-   tell which segments can hold a repeated string at all; for these the extensions to both sides give the repeated starts.
-   Matches are verified on the bytes.
+   tell which segments can hold a repeated string at all; the strings of these are met by hash and verified on the bytes.
+   Anchors of too many segments for one task have their strings dealt over all tasks by two hashes instead.
 4. Starts are put together per text, and the covered bytes removed.
 
-A passage that a third of all texts hold is sent on once per task, and comes back by a join that Spark may split.
+A passage that a third of all texts hold is sent on once per task, and what is known of it comes back by salted joins.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import as_long, chunks, dealt, distinct, mix, partitions, powers, prefix_hashes, record, span_hashes, stored
 
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
-#: Groups of more surviving segments are resolved by sorting the hashes of their strings instead of pair by pair.
-PAIRS_MOST = 64
+_SECOND = np.uint64(0xD6E8FEB86659FD93 | 1)
+_SECOND_INVERSE = np.uint64(pow(int(_SECOND), -1, 1 << 64))
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -222,55 +222,37 @@ class Suffixes:
             width *= 2
         return order
 
-    def _pairs(self, who: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-        """(segment, lo, hi) of repeated starts from all pairs of the segments who, which are sorted by group."""
-        g = self.group[who]
-        first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        count = np.diff(np.append(first, len(who)))
-        place = np.arange(len(who)) - np.repeat(first, count)
-        i = np.repeat(np.arange(len(who)), place)
-        step = np.arange(len(i)) - np.repeat(np.concatenate([[0], np.cumsum(place)[:-1]]), place)
-        j = who[i - place[i] + step]
-        i = who[i]
-        found = []
-        for at in range(0, len(i), 500_000):
-            x, y = i[at : at + 500_000], j[at : at + 500_000]
-            right = self.common(x, y)
-            some = right + np.minimum(self.left[x], self.left[y]) >= length
-            x, y, right = x[some], y[some], right[some]
-            left = self.common(x, y, back=True)
-            some = right + left >= length
-            x, y, right, left = x[some], y[some], right[some], left[some]
-            for u, v, r, k in zip(x.tolist(), y.tolist(), right.tolist(), left.tolist()):
-                a, b = int(self.at[u]), int(self.at[v])
-                if self.data[a - k : a + r].tobytes() == self.data[b - k : b + r].tobytes():
-                    found += [(w, int(self.left[w]) - k, int(self.left[w]) - max(0, length - r)) for w in (u, v)]
-        return tuple(np.array(found, np.int64).reshape(-1, 3).T)
-
     def _strings(self, who: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-        """The same for a large group: all its strings of the length, by sorted hash and offset, verified against the first of each run."""
-        count = self.left[who] + self.right[who] - length + 1
-        seg = np.repeat(who, count)
-        rel = np.arange(len(seg)) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+        """(segment, lo, hi): starts of the segments who whose strings another of them has at the same offset from the anchor.
+
+        The strings are sorted by hash, group and offset. Matching starts that follow each other in both segments are
+        verified as one stretch of bytes.
+        """
+        seg, rel = _starts(who, (self.left + self.right)[who], length)
         start = self.at[seg] - self.left[seg] + rel
         key = mix(span_hashes(self.prefix, start, start + length) * np.uint64(0xC2B2AE3D27D4EB4F) + (self.left[seg] - rel).astype(np.uint64))
+        key = mix(key + self.group[seg].astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
         order = np.argsort(key, kind="stable")
         k = key[order]
         new = np.concatenate([[True], k[1:] != k[:-1]])
         run = np.flatnonzero(new)
-        size = np.diff(np.append(run, len(k)))
-        head, twice = np.repeat(run, size), np.repeat(size > 1, size)
-        hit = np.zeros(len(seg), bool)
-        for p in np.flatnonzero(twice & ~new).tolist():
-            a, b = int(start[order[head[p]]]), int(start[order[p]])
-            if self.data[a : a + length].tobytes() == self.data[b : b + length].tobytes():
-                hit[order[p]] = hit[order[head[p]]] = True
-        at = np.flatnonzero(hit)
-        if not len(at):
-            return (np.zeros(0, np.int64),) * 3
-        cut = np.flatnonzero(np.concatenate([[True], (seg[at[1:]] != seg[at[:-1]]) | (rel[at[1:]] != rel[at[:-1]] + 1)]))
-        last = np.append(cut[1:], len(at)) - 1
-        return seg[at[cut]], rel[at[cut]], rel[at[last]]
+        head = order[np.repeat(run, np.diff(np.append(run, len(k))))]
+        first = np.empty(len(k), np.int64)
+        first[order] = head  # by string, the first one with its hash
+        other = np.flatnonzero(first != np.arange(len(k)))
+        hit = np.zeros(len(k), bool)
+        mine, theirs = start[other], start[first[other]]
+        cut = np.flatnonzero(np.concatenate([[True], (mine[1:] != mine[:-1] + 1) | (theirs[1:] != theirs[:-1] + 1) | (seg[other[1:]] != seg[other[:-1]])])) if len(other) else ()
+        for i, j in zip(cut, [*cut[1:], len(other)]):
+            x, y, n = int(mine[i]), int(theirs[i]), int(j - i) + length - 1
+            if self.data[x : x + n].tobytes() == self.data[y : y + n].tobytes():
+                hit[other[i:j]] = hit[first[other[i:j]]] = True
+            else:
+                for q in range(i, j):
+                    x, y = int(mine[q]), int(theirs[q])
+                    if self.data[x : x + length].tobytes() == self.data[y : y + length].tobytes():
+                        hit[other[q]] = hit[first[other[q]]] = True
+        return _intervals(seg[hit], rel[hit])
 
     def repeated(self, length: int) -> tuple[np.ndarray, ...]:
         """(segment, lo, hi): starts lo .. hi of the segment begin strings that another segment of its group has too."""
@@ -286,27 +268,21 @@ class Suffixes:
         who = np.flatnonzero(most + self.left >= length)
         if not len(who):
             return (np.zeros(0, np.int64),) * 3
-        g = self.group[who]
-        first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        count = np.repeat(np.diff(np.append(first, len(who))), np.diff(np.append(first, len(who))))
-        out = [self._pairs(who[count <= PAIRS_MOST], length)] if (count <= PAIRS_MOST).any() else []
-        large = who[count > PAIRS_MOST]
-        for k in np.unique(self.group[large]):
-            out.append(self._strings(large[self.group[large] == k], length))
-        return tuple(map(np.concatenate, zip(*out)))
-
-
-def _merged(seg: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Intervals of each segment joined where they overlap or touch."""
-    order = np.lexsort((lo, seg))
-    seg, lo, hi = seg[order], lo[order], hi[order]
-    out: list[list[int]] = []
-    for s, a, b in zip(seg.tolist(), lo.tolist(), hi.tolist()):
-        if out and out[-1][0] == s and a <= out[-1][2] + 1:
-            out[-1][2] = max(out[-1][2], b)
-        else:
-            out.append([s, a, b])
-    return tuple(np.array(out, np.int64).reshape(-1, 3).T)
+        return self._strings(who, length)
+
+
+def _starts(who: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, start) of every string of length in the segments who of these sizes."""
+    count = size - length + 1
+    return np.repeat(who, count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _intervals(seg: np.ndarray, rel: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(segment, lo, hi) of runs of starts, which are in order within each segment."""
+    if not len(seg):
+        return (np.zeros(0, np.int64),) * 3
+    cut = np.flatnonzero(np.concatenate([[True], (seg[1:] != seg[:-1]) | (rel[1:] != rel[:-1] + 1)]))
+    return seg[cut], rel[cut], rel[np.append(cut[1:], len(seg)) - 1]
 
 
 def _resolve(length: int, most_bytes: int = 24 << 20):
@@ -315,7 +291,7 @@ def _resolve(length: int, most_bytes: int = 24 << 20):
     def solve(groups: list[tuple[list[bytes], list[bytes], list[int]]]) -> Iterator[pa.RecordBatch]:
         digests = [d for g in groups for d in g[0]]
         s = Suffixes([p for g in groups for p in g[1]], np.array([x for g in groups for x in g[2]], np.int64), np.repeat(np.arange(len(groups)), [len(g[0]) for g in groups]))
-        seg, lo, hi = _merged(*s.repeated(length))
+        seg, lo, hi = s.repeated(length)
         for i in range(0, len(seg), 20_000):
             own = slice(i, i + 20_000)
             yield record(_HITS)([digests[k] for k in seg[own]], lo[own].astype(np.int32), hi[own].astype(np.int32))
@@ -345,6 +321,98 @@ def _resolve(length: int, most_bytes: int = 24 << 20):
     return run
 
 
+_KEYS = pa.schema([("bucket", pa.int32()), ("digest", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("keys", pa.binary())])
+_KEYS_SQL = "bucket int, digest binary, lo int, hi int, keys binary"
+#: A string of a segment: two hashes, the segment's digest, the start, and whether its task holds it in two segments.
+_STRING = np.dtype([("x", "<u8"), ("y", "<u8"), ("d", "<u8"), ("e", "<u8"), ("rel", "<i4"), ("twice", "<i4")])
+
+
+def _shared(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For strings sorted by both hashes: where runs of equal ones start, and which runs are in two segments."""
+    first = np.flatnonzero(np.concatenate([[True], (strings["x"][1:] != strings["x"][:-1]) | (strings["y"][1:] != strings["y"][:-1])])) if len(strings) else np.zeros(0, np.int64)
+    head = np.repeat(first, np.diff(np.append(first, len(strings))))
+    differs = (strings["d"] != strings["d"][head]) | (strings["e"] != strings["e"][head]) | (strings["twice"] > 0)
+    return first, np.logical_or.reduceat(differs, first) if len(first) else np.zeros(0, bool)
+
+
+def _found(strings: np.ndarray):
+    """(digest, lo, hi) of the runs of starts of each segment."""
+    strings = strings[np.lexsort((strings["rel"], strings["e"], strings["d"]))]
+    names = np.column_stack([strings["d"], strings["e"]])
+    seg = np.cumsum(np.concatenate([[False], (names[1:] != names[:-1]).any(axis=1)])) if len(names) else np.zeros(0, np.int64)
+    one = np.flatnonzero(np.concatenate([[True], (seg[1:] != seg[:-1]) | (strings["rel"][1:] != strings["rel"][:-1])])) if len(seg) else np.zeros(0, np.int64)
+    which, lo, hi = _intervals(seg[one], strings["rel"][one].astype(np.int64))
+    at = np.searchsorted(seg, which)
+    return [names[i].tobytes() for i in at], lo.astype(np.int32), hi.astype(np.int32)
+
+
+def _spread_strings(length: int, n: int, most_bytes: int = 1 << 20):
+    """The strings of segments of hot anchors, dealt over buckets by hash, and what a task finds repeated by itself.
+
+    A string that a task holds in two segments is found at once and sent on once, however many segments hold it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, held, size = record(_KEYS), {}, 0
+
+        def flush():
+            pieces = [p for p, _, _ in held.values()]
+            data = np.frombuffer(b"".join(pieces), np.uint8)
+            sizes = np.array([len(p) for p in pieces], np.int64)
+            seg, rel = _starts(np.arange(len(pieces)), sizes, length)
+            start = (np.cumsum(sizes) - sizes)[seg] + rel
+            left, anchor = (np.array([x[i] for x in held.values()], np.int64)[seg] for i in (1, 2))
+            salt = mix(anchor.astype(np.uint64) + (left - rel).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            strings = np.zeros(len(seg), _STRING)
+            strings["x"] = mix(span_hashes(prefix_hashes(data), start, start + length) + salt)
+            second = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), _SECOND), out=second[1:])
+            strings["y"] = mix((second[start + length] - second[start]) * powers(len(second), _SECOND_INVERSE)[start] + salt)
+            names = np.frombuffer(b"".join(held), "<u8").reshape(-1, 2)
+            strings["d"], strings["e"], strings["rel"] = names[seg, 0], names[seg, 1], rel
+            strings = strings[np.lexsort((strings["y"], strings["x"]))]
+            first, shared = _shared(strings)
+            again = np.repeat(shared, np.diff(np.append(first, len(strings))))
+            for digest, lo, hi in zip(*_found(strings[again])):
+                yield (-1, digest, lo, hi, None)
+            sent = strings[first]
+            sent["twice"] = shared
+            bucket = ((sent["x"] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            cuts = np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
+            for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                yield (b, None, None, None, sent[cuts[b] : cuts[b + 1]].tobytes())
+
+        def batched():
+            rows = list(flush())
+            for i in range(0, len(rows), 5000):
+                yield make(*map(list, zip(*rows[i : i + 5000])))
+
+        for batch in batches:
+            for h, digest, left, piece in zip(batch.column("h").to_pylist(), batch.column("digest").to_pylist(), batch.column("left").to_pylist(), batch.column("bytes").to_pylist()):
+                if digest not in held:
+                    held[digest] = (piece, left, h)
+                    size += len(piece)
+                    if size >= most_bytes:
+                        yield from batched()
+                        held, size = {}, 0
+        if held:
+            yield from batched()
+
+    return run
+
+
+def _meet_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of a bucket that two segments hold."""
+    held = [np.frombuffer(k.as_buffer(), _STRING) for batch in batches for k in batch.column("keys")]
+    if held:
+        strings = np.concatenate(held)
+        strings = strings[np.lexsort((strings["y"], strings["x"]))]
+        first, shared = _shared(strings)
+        digest, lo, hi = _found(strings[np.repeat(shared, np.diff(np.append(first, len(strings))))])
+        for i in range(0, len(digest), 20_000):
+            yield record(_HITS)(digest[i : i + 20_000], lo[i : i + 20_000], hi[i : i + 20_000])
+
+
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, rows = record(_KEPT), []
@@ -373,13 +441,14 @@ def _cut(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, group_segments: int = 4096) -> DataFrame:
     """Bytes covered by strings of length bytes that also start elsewhere, in any text or the same one.
 
     A row per row of docs (doc_id, text; other columns are ignored): doc_id, n_bytes, n_removed, n_spans (maximal removed
     runs), kept_sha256 (of the bytes left), spans (removed runs as start, end, start, end, ...). Strings are judged on the
     input and don't cross texts. Null text is empty; shorter texts lose nothing; repeated rows are copies of each other
-    (all removed if long enough); null ids are treated like any other; an empty table gives no rows.
+    (all removed if long enough); null ids are treated like any other; an empty table gives no rows. A task sorts at most
+    group_segments segments of one anchor together; those of anchors with more are compared string by string over all tasks.
     """
     if not 8 <= gram <= length:
         raise ValueError("8 <= gram <= length")
@@ -396,12 +465,19 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64) -> DataFr
     wanted = per_text.join(copies.select("text_key", "holder"), "text_key")
     held = stored(long_.join(wanted, "text_key").where(F.col("doc_id").eqNullSafe(F.col("holder"))).select("text_key", "text", "runs"), "held")
     segments = stored(held.select("text_key", F.col("text").cast("binary").alias("text"), "runs").mapInArrow(_segments(length), _SEGMENTS_SQL), "segments")
-    whole = segments.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest", F.lit(True).alias("all"))
     sent = segments.where("bytes is not null").select("h", "digest", "left", "bytes")
-    hits = sent.repartition(n, "h").sortWithinPartitions("h").mapInArrow(_resolve(length), "digest binary, lo int, hi int")
-    places = segments.select("digest", "text_key", "a", "starts")
-    full = places.join(whole, "digest").select("text_key", F.col("a").alias("lo"), (F.col("a") + F.col("starts")).alias("hi"))
-    part = places.join(stored(hits, "hits"), "digest").select("text_key", (F.col("a") + F.col("lo")).alias("lo"), (F.col("a") + F.col("hi")).alias("hi"))
+    many = sent.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group_segments).select("h")
+    many = stored(many, "hot-anchors")
+    hits = sent.join(many, "h", "left_anti").repartition(n, "h").sortWithinPartitions("h").mapInArrow(_resolve(length), "digest binary, lo int, hi int")
+    spread = stored(sent.join(many, "h", "left_semi").mapInArrow(_spread_strings(length, n), _KEYS_SQL), "hot-strings")
+    met = dealt(spread.where("bucket >= 0").select("bucket", "keys"), "bucket", n).mapInArrow(_meet_strings, "digest binary, lo int, hi int")
+    hits = stored(hits.union(spread.where("bucket < 0").select("digest", "lo", "hi")).union(met), "hits")
+    # A segment may stand in a third of all texts: its places get salts, and what is known of it comes back to each salt.
+    places = segments.select("digest", "text_key", "a", "starts", F.pmod(F.xxhash64("text_key"), F.lit(n)).alias("salt"))
+    salted = stored(places.groupBy("digest", "salt").agg(F.count("*").alias("n")), "places")
+    whole = salted.groupBy("digest").agg(F.sum("n").alias("all")).where("all > 1").select("digest")
+    full = places.join(salted.join(whole, "digest").select("digest", "salt"), ["digest", "salt"]).select("text_key", F.col("a").alias("lo"), (F.col("a") + F.col("starts")).alias("hi"))
+    part = places.join(salted.select("digest", "salt").join(hits, "digest"), ["digest", "salt"]).select("text_key", (F.col("a") + F.col("lo")).alias("lo"), (F.col("a") + F.col("hi")).alias("hi"))
     spans = full.union(part).groupBy("text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("hits"))
     single = copies.where("copies = 1").select("text_key")
     cut = held.select("text_key", F.col("text").cast("binary").alias("text")).join(spans, "text_key").join(single, "text_key", "left_semi").select("text_key", "text", "hits")
