@@ -599,12 +599,6 @@ def moving_average(t):
     return t.events.select("event_id", F.floor(F.avg("value").over(w) * 1000 + 0.2503).cast("long").alias("moving_milli"))
 
 
-@query()
-def budgeted_batches(t):
-    d = t.documents.withColumn("bucket", F.concat_ws("-", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(64)).cast("string")))
-    return R.budgeted_batches(d, "bucket", "doc_id", F.octet_length("text"))
-
-
 @query("SELECT CAST(doc_id AS VARCHAR) AS id, source, '' AS url FROM documents UNION ALL SELECT CAST(page_id AS VARCHAR), '', url FROM pages")
 def union_heterogeneous(t):
     return R.union_all(t.documents.select(F.col("doc_id").cast("string").alias("id"), "source"), t.pages.select(F.col("page_id").cast("string").alias("id"), "url"))

@@ -15,6 +15,7 @@ HAN = "[\\x{3400}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{2B81F}]"
 HAN_NARROW = "[\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}]"
 KANA_HANGUL = "[\\x{3040}-\\x{30FF}\\x{AC00}-\\x{D7AF}]"
 LATIN = "[A-Za-z\\x{00C0}-\\x{024F}]"
+FULL_WIDTH = ("，。！？：；（）", ",.!?:;()")
 URL = "(?i)(?:https?://|www\\.)"
 MARKUP = "<[A-Za-z/!][^>]*>"
 NUMBERED = "(?:^|\\s)\\(?([1-9]\\d?)\\)?[.)、:：]\\s*"
@@ -82,6 +83,16 @@ def only_symbols(x: Column) -> Column:
     return ~F.coalesce(x, F.lit("")).rlike(ALNUM)
 
 
+def marks_only(x: Column) -> Column:
+    """Nothing but white space, punctuation and symbols (nothing at all counts too)."""
+    return F.coalesce(x, F.lit("")).rlike("^[\\s\\p{P}\\p{S}]*$")
+
+
+def mapped(x: Column, table: tuple[str, str]) -> Column:
+    """Each character of the first string replaced by the one at its place in the second."""
+    return F.translate(F.coalesce(x, F.lit("")), *table)
+
+
 def script_count(x: Column, pattern: str) -> Column:
     return F.regexp_count(F.coalesce(x, F.lit("")), F.lit(pattern)).cast("long")
 

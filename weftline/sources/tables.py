@@ -57,3 +57,10 @@ def read_with_manifest(spark: SparkSession, path: str, source_digest: str) -> Da
 def write_ledger(df: DataFrame, path: str) -> None:
     """Rows partitioned by disposition."""
     df.write.partitionBy("disposition").parquet(path)
+
+
+def discovered(files: DataFrame, pattern: str = "^([a-z]+)_to_([a-z]+)[.]csv$", excluded: str = "quarantine") -> DataFrame:
+    """path, lang, target of the files (path) whose name says both; excluded ones are left out."""
+    name = F.element_at(F.split("path", "/"), -1)
+    found = files.where(name.rlike(pattern) & ~F.lower(name).rlike(excluded))
+    return found.select("path", F.regexp_extract(name, pattern, 1).alias("lang"), F.regexp_extract(name, pattern, 2).alias("target"))
