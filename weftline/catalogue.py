@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
-from weftline.functions.exact import standardize_udf
 from weftline.operators import metrics, relational as R, rules, similarity, split
 from weftline.operators.graph import closure, components
 from weftline.plans.storage import stored
-from weftline.sources import xml_units
 from weftline.streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,11 +277,6 @@ def eval_eligibility(t):
     return pairs(t).select("row_id", rules.eligible(pairs(t)).alias("eligible"))
 
 
-@query()
-def pair_quality(t):
-    return rules.judge_pairs(pairs(t)).select("row_id", "disposition", "reason", F.array_join("flags", "|").alias("flags"))
-
-
 @query(f"SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS id, doc_id, '<to_' || lang || '> <src_' || source || '>' AS prefix FROM documents")
 def release_projection(t):
     # A dense id without one global window: counts per range partition are added up, then rows are numbered inside them.
@@ -500,7 +493,7 @@ def hard_split(t):
     return split.hard_split(_split_rows(t), t=0.82)
 
 
-@query()
+@query("SELECT unnest(['unknown_split', 'ineligible_held_out', 'exact_overlap', 'group_overlap', 'ngram_overlap', 'target_overlap', 'pair_overlap', 'target_ngram_overlap']) AS gate, 0 AS n")
 def hard_split_invariants(t):
     rows = _split_rows(t)
     return split.split_report(split.hard_split(rows, t=0.82), rows, 0.82)
@@ -565,28 +558,6 @@ def sliced_metrics(t):
     return t.documents.groupingSets([["lang"], ["source"], []], "lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query()
-def chrf_components(t):
-    return metrics.ngram_statistics(pairs(t), "row_id", "src", "tgt")
-
-
-@query()
-def corpus_scores(t):
-    p = pairs(t).withColumn("slice", F.col("row_id") % 3)
-    one = lambda words, n: metrics.ngram_statistics(p, "row_id", "src", "tgt", n, words).join(p.select("row_id", "slice"), "row_id")
-    return metrics.chrf(one(False, 6), ["slice"]).join(metrics.bleu(one(True, 4), ["slice"]), "slice")
-
-
-@query()
-def word_edit_rate(t):
-    return metrics.edit_rate(pairs(t), "src", "tgt")
-
-
-@query()
-def bootstrap_ci(t):
-    return metrics.bootstrap(t.documents.select("doc_id", "lang", "n_chars"), "lang", F.col("n_chars"))
-
-
 @query("SELECT lang, pow(greatest(n, 1), 0.7) / sum(pow(greatest(n, 1), 0.7)) OVER () AS p FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)")
 def sampling_probs(t):
     n = t.documents.groupBy("lang").agg(F.pow(F.count("*").cast("double"), F.lit(0.7)).alias("w"))
@@ -607,21 +578,3 @@ def union_heterogeneous(t):
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL")
 def windowed_events(t):
     return stream.windowed(t.events)
-
-
-# ---- XML and standardizer ----
-
-
-@query()
-def xml_units_scan(t):
-    esc = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    s = F.concat(F.lit("<S id='"), F.col("row_id").cast("string"), F.lit("'><FORM kindOf='standard'>"), esc("src"), F.lit("</FORM><TRANSL xml:lang='eng'>"), esc("tgt"), F.lit("</TRANSL></S>"))
-    files = pairs(t).select(F.concat(F.lit("mem/"), F.floor(F.col("row_id") / 1000).cast("string"), F.lit(".xml")).alias("path"), s.alias("s")).groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("s")), "").alias("body"))
-    found = xml_units.units(files.select("path", F.concat(F.lit("<TEXT xml:lang='en'>"), "body", F.lit("</TEXT>")).cast("binary").alias("content")))
-    return xml_units.unit_pairs(found, "eng").select("row_id", "source_record_id", "xml_path", "row_type", "unit_context", "src", "tgt")
-
-
-@query()
-def standardize_text(t):
-    d = t.part.select("p_partkey", standardize_udf(F.concat_ws("-", "p_name", "p_type"), F.lit("sentence")).alias("s"))
-    return d.select("p_partkey", "s.text", "s.status", "s.confidence", "s.eval_eligible", F.size("s.transformations").alias("n_rules"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -149,6 +149,11 @@ def bool_parse(x: Column, true=("true", "1"), false=("false", "0"), strict: bool
     return F.when(v.isin(*true), True).when(v.isin(*false), False).otherwise(other)
 
 
+def translation_kind(x: Column) -> Column:
+    """Lower case, with runs of white space and underscores as one hyphen."""
+    return F.regexp_replace(F.lower(F.trim(F.coalesce(x, F.lit("")))), "[\\s_]+", "-")
+
+
 def row_type(value: Column, path: Column) -> Column:
     v = F.lower(F.trim(F.coalesce(value, F.lit(""))))
     lexical = F.lit(False)
@@ -184,3 +189,11 @@ def deletion_keys(x: Column) -> Column:
     n = F.length(x)
     cut = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, n)))
     return F.when(n == 0, F.array(x)).otherwise(F.array_distinct(F.concat(F.array(x), cut)))
+
+
+def with_derived(df: DataFrame, src: str = "src", tgt: str = "tgt", lang: str = "lang", path: str = "path", kind: str = "row_type", language: str = "english") -> DataFrame:
+    """df with the derived columns of pairs: keys, skeletons and their pairs, counts, marks, domain, corpus, document and task keys, and the row type made known."""
+    s, t = F.col(src), F.col(tgt)
+    out = df.withColumns({"src_key": key(s), "tgt_key": key(t), "src_skeleton": skeleton(s), "tgt_skeleton": skeleton(t), "src_tokens": token_count(s), "tgt_tokens": target_units(t, language, narrow=True), "src_terminal": terminal(s), "tgt_terminal": terminal(t), "tgt_han": han_count(t, narrow=True)})
+    of = F.col(path)
+    return out.withColumns({"pair_key": joined(F.col("src_key"), F.col("tgt_key")), "pair_skeleton": joined(F.col("src_skeleton"), F.col("tgt_skeleton")), "task_key": joined(F.col(lang), F.col("src_key")), "short_entry": (F.col("src_tokens") <= 2) & (F.col("tgt_tokens") <= 3), "bucket": source_bucket(of), "corpus": source_corpus(of), "document_key": key(of), kind: row_type(F.col(kind), of)})

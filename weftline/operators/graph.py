@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.plans.storage import stored
+from weftline.plans.storage import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,32 +30,31 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, component (least node reachable) for every node of an edge.
 
     edges: columns a, b of one orderable type; null ends and loops are dropped. Rounds are written to the shared folder; a
-    checksum of all edges tells when nothing changes. Raises if it doesn't settle in most_rounds.
+    checksum of all edges tells when nothing changes. Each round that changes something lowers a node's link, so it ends,
+    in about log2 of the longest path rounds.
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = stored(now, name)
     seen = _mark(now)
-    for _ in range(most_rounds):
-        if not seen[0]:
-            break
-        now = stored(_small_star(_large_star(now)), name)
+    while seen[0]:
+        last, now = now, stored(_small_star(_large_star(now)), name)
+        discard(last)
         mark = _mark(now)
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
 
-def closure(edges: DataFrame, seeds: DataFrame, blocked: DataFrame | None = None, most_rounds: int = 1000) -> DataFrame:
+def closure(edges: DataFrame, seeds: DataFrame, blocked: DataFrame | None = None) -> DataFrame:
     """node, round: nodes reached from seeds (node) over undirected edges (a, b), and the round they were first reached in.
 
-    Blocked nodes are never entered. A breadth-first search whose frontier is an equi-join per round.
+    Blocked nodes are never entered. A breadth-first search whose frontier is an equi-join per round; it ends when a round
+    reaches nothing new.
     """
     both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "closure-edges")
     seen = seeds.select("node").distinct()
@@ -61,7 +62,7 @@ def closure(edges: DataFrame, seeds: DataFrame, blocked: DataFrame | None = None
         seen = seen.join(blocked.select("node"), "node", "left_anti")
     frontier = stored(seen.withColumn("round", F.lit(0)), "closure")
     seen = frontier
-    for k in range(1, most_rounds + 1):
+    for k in count(1):
         reached = frontier.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct().join(seen.select("node"), "node", "left_anti")
         if blocked is not None:
             reached = reached.join(blocked.select("node"), "node", "left_anti")
@@ -69,4 +70,3 @@ def closure(edges: DataFrame, seeds: DataFrame, blocked: DataFrame | None = None
         if frontier.isEmpty():
             return seen
         seen = seen.union(frontier)
-    raise RuntimeError("closure did not settle")
