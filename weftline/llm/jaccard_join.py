@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.graph import components
+
 from .common import as_long, chunks, dealt, grouped, partitions, record, shingle_sets, stored, text_bytes
-from .components import components
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("class", pa.int64())])
 _BLOBS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("which", pa.binary())])
