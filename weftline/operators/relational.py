@@ -26,6 +26,15 @@ def with_totals(df: DataFrame, keys: list[str], ident: str, **totals: tuple[str,
     return salted.join(back, on).drop(*named, "_salt", "_at")
 
 
+def looked_up(df: DataFrame, table: DataFrame, keys: list[str], ident: list[str], how: str = "left") -> DataFrame:
+    """df joined with table, which has one row per key. Rows of a key are dealt over n salts by ident, and the key's row is sent
+    to the salts that it has rows in: no task meets all rows of a key that a third of the table may have. Null keys match nothing."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*ident), F.lit(n)))
+    spread = salted.select(*keys, "_salt").distinct().join(table, keys)
+    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], ident: str) -> DataFrame:
     """df with _kept (the first of its key by the given order, which ends with the unique ident), group_size and canonical_id."""
     first = F.struct(*(c.alias(f"_o{i}") for i, c in enumerate(order)), F.col(ident).alias("_id"))
