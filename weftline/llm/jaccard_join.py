@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.graph import components
+from weftline.operators.relational import looked_up
 
 from .common import as_long, chunks, dealt, grouped, partitions, record, shingle_sets, stored, text_bytes
 
@@ -254,7 +255,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     head = known.groupBy("component").agg(F.min("least").alias("component_id"))
     named = known.join(head, "component").select("class", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     out = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"))
-    out = out.join(named, "class", "left")
+    out = looked_up(out, named, ["class"], ["doc_id"])
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.relational import looked_up
+
 from .common import as_long, chunks, dealt, distinct, mix, partitions, powers, prefix_hashes, record, span_hashes, stored
 
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
@@ -463,7 +465,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, group_seg
     per_text = runs.groupBy("text_key").agg(F.collect_list(F.struct("h", "a", "b", "m")).alias("runs"))
     copies = facts.groupBy("sha", "n_bytes").agg(F.count("*").alias("copies"), F.min("doc_id").alias("holder"), F.first("text_key").alias("text_key"))
     wanted = per_text.join(copies.select("text_key", "holder"), "text_key")
-    held = stored(long_.join(wanted, "text_key").where(F.col("doc_id").eqNullSafe(F.col("holder"))).select("text_key", "text", "runs"), "held")
+    # By text and holder: the copies of a text don't meet.
+    held = stored(long_.join(wanted.withColumnRenamed("text_key", "key"), (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("holder"))).select("text_key", "text", "runs"), "held")
     segments = stored(held.select("text_key", F.col("text").cast("binary").alias("text"), "runs").mapInArrow(_segments(length), _SEGMENTS_SQL), "segments")
     sent = segments.where("bytes is not null").select("h", "digest", "left", "bytes")
     many = sent.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group_segments).select("h")
@@ -482,7 +485,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, group_seg
     single = copies.where("copies = 1").select("text_key")
     cut = held.select("text_key", F.col("text").cast("binary").alias("text")).join(spans, "text_key").join(single, "text_key", "left_semi").select("text_key", "text", "hits")
     kept = cut.mapInArrow(_cut(length), "text_key long, n_removed long, n_spans long, kept_sha256 string, spans array<long>").withColumn("single", F.lit(True))
-    marked = facts.join(copies.select("sha", "n_bytes", "copies"), ["sha", "n_bytes"])
+    marked = looked_up(facts, copies.select("sha", "n_bytes", "copies"), ["sha", "n_bytes"], ["doc_id"])
     out = marked.join(kept, (marked["text_key"] == kept["text_key"]) & (F.col("copies") == 1), "left").drop(kept["text_key"])
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     pick = lambda all_, some, none, name: F.when(gone, all_).when(F.col("single"), some).otherwise(none).alias(name)
