@@ -73,6 +73,16 @@ def test_files_come_back_and_changes_are_noticed(spark, tmp_path):
         read("abc")
 
 
+def test_a_pinned_table_is_made_once(spark, tmp_path):
+    made = []
+    make = lambda: made.append(1) or spark.createDataFrame([(1, "a")], "i long, t string")
+    for _ in range(2):
+        assert tables.pinned(spark, str(tmp_path / "p"), {"x": [1]}, make).count() == 1
+    assert made == [1]
+    with pytest.raises(ValueError):
+        tables.pinned(spark, str(tmp_path / "p"), {"x": [2]}, make)
+
+
 def test_policy_rejects_what_contradicts_itself():
     assert tables.SplitPolicy.from_json('{"seed": 7}').seed == 7
     for body in ('{"test_ratio": 0.2}', '{"least_tokens": 500}', '{"similarity": 0}', '{"other": 1}', '{"source_tolerance": 1.0}'):

@@ -234,3 +234,14 @@ def test_word_edits_equal_the_table_of_distances():
             for j, y in enumerate(b, 1):
                 last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         assert metrics.word_edits(a, b) == row[-1]
+
+
+def test_block_moves():
+    a = "a b c d e f g h".split()
+    assert metrics.shift_edits(a, a) == 0 and metrics.shift_edits([], a) == 8 and metrics.shift_edits(a, []) == 8
+    assert metrics.shift_edits(a[4:] + a[:4], a) == 1  # one move
+    assert metrics.shift_edits(a[4:] + ["x"] + a[:4], a) == 2
+    rng = random.Random(8)
+    for _ in range(60):
+        h, r = ([rng.choice("abcdefgh") for _ in range(rng.randrange(12))] for _ in "hr")
+        assert metrics.shift_edits(h, r) <= metrics.word_edits(h, r)

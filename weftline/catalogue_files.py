@@ -112,6 +112,23 @@ def release_counts(t):
     return one(t.customer, "c_nationkey", "customers").union(one(t.supplier, "s_nationkey", "suppliers"))
 
 
+_DIGEST = "CAST(sum(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)) AS BIGINT)".format
+
+
+@query(f"SELECT 'labels' AS name, count(*) AS rows, {_DIGEST("concat_ws('␟', doc_id, quality, toxic)")} AS digest FROM labels UNION ALL SELECT 'nation', count(*), {_DIGEST("concat_ws('␟', n_nationkey, n_name, n_regionkey)")} FROM nation")
+def provenance_bundle(t):
+    return files.provenance({"labels": t.labels, "nation": t.nation})
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <= 2")
+def pinned_snapshot(t):
+    """Made once, then read again for the same selection."""
+    path = shared_dir(t.spark, "pinned")
+    make = lambda: t.nation.where("n_regionkey <= 2").select("n_nationkey", "n_name")
+    files.pinned(t.spark, path, {"regions": [0, 1, 2]}, make)
+    return files.pinned(t.spark, path, {"regions": [0, 1, 2]}, lambda: make().limit(0))
+
+
 # ---- groups and fills ----
 
 

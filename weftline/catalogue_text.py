@@ -229,8 +229,18 @@ def word_edit_rate(t):
     return metrics.edits_of_pairs(pairs(t), "row_id", "src", "tgt")
 
 
+def _tokens_13a(c: str) -> str:
+    out = f"coalesce({c}, '')"
+    for to, of in metrics.TOKENS_13A:
+        out = f"replace({out}, '{of}', '{to}')"
+    out = f"' ' || {out} || ' '"
+    for pattern, by in metrics.SPLITS_13A:
+        out = f"regexp_replace({out}, '{pattern}', '{by.replace('$', chr(92))}', 'g')"
+    return _ws(out)
+
+
 def _grams_of(words: bool, orders: int) -> str:
-    unit = (lambda c: f"list_filter(string_split({_ws(c)}, ' '), lambda q: q <> '')") if words else (lambda c: f"list_filter(string_split(regexp_replace({c}, '[ \\t\\n\\x0B\\f\\r]', '', 'g'), ''), lambda q: q <> '')")
+    unit = (lambda c: f"list_filter(string_split({_tokens_13a(c)}, ' '), lambda q: q <> '')") if words else (lambda c: f"list_filter(string_split(regexp_replace({c}, '[ \\t\\n\\x0B\\f\\r]', '', 'g'), ''), lambda q: q <> '')")
     gram = "list_transform(range(1, len(u) - n + 2), lambda i: array_to_string(u[i:i + n - 1], '␟'))"
     side = lambda c: f"SELECT row_id, n, g, count(*) AS k FROM (SELECT row_id, n, unnest({gram}) AS g FROM (SELECT row_id, {unit(c)} AS u, unnest(range(1, {orders} + 1)) AS n FROM ({PAIRS})) WHERE len(u) >= n) GROUP BY ALL"
     return f"""SELECT p.row_id, CAST(p.n AS INT) AS n, CAST(coalesce(matches, 0) AS BIGINT) AS matches, CAST(coalesce(hyp_total, 0) AS BIGINT) AS hyp_total, CAST(coalesce(ref_total, 0) AS BIGINT) AS ref_total FROM (SELECT row_id, unnest(range(1, {orders} + 1)) AS n FROM ({PAIRS})) p
@@ -259,3 +269,21 @@ k AS (SELECT s, b, v, {' + '.join(f'CAST(u > {c!r} AS INT)' for c in metrics.poi
 r AS (SELECT b, sum(mean * n) / sum(n) AS m FROM m GROUP BY b) SELECT quantile_cont(m, 0.025) AS lower, quantile_cont(m, 0.5) AS median, quantile_cont(m, 0.975) AS upper FROM r""")
 def bootstrap_ci(t):
     return metrics.bootstrap(t.documents.select("doc_id", "lang", "n_chars"), "doc_id", "lang", F.col("n_chars"))
+
+
+@query()
+def translation_edit_rate(t):
+    """Edits with block moves over reference words; the target beside itself with its first eight words moved to the end."""
+    words = F.split("tgt", "\\s+")
+    moved = F.concat_ws(" ", F.slice(words, F.lit(9), F.greatest(F.size(words) - 8, F.lit(0))), F.slice(words, 1, 8))
+    p = pairs(t).select("row_id", moved.alias("hyp"), F.concat_ws(" ", words).alias("ref")).repartition("row_id")  # much work per row
+    return metrics.edit_rate(p, "row_id", "hyp", "ref")
+
+
+@query("SELECT slice, rows, mean_score, exact, over_70, over_85, over_95 FROM (SELECT CAST(item_id % 3 AS BIGINT) AS slice, count(*) AS rows, avg(s) AS mean_score, count(*) FILTER (s = 1) AS exact, avg(CAST(s >= 0.7 AS INT)) AS over_70, avg(CAST(s >= 0.85 AS INT)) AS over_85, avg(CAST(s >= 0.95 AS INT)) AS over_95 FROM (SELECT item_id, (item_id * 37 % 101) / 100.0::DOUBLE AS s FROM benchmark) GROUP BY 1)")
+def exposure_by_slice(t):
+    """The report of exposure per slice, over given scores."""
+    from weftline.operators import reports
+
+    b = t.benchmark.select((F.col("item_id") % 3).alias("slice"), ((F.col("item_id") * 37 % 101) / 100.0).alias("s"))
+    return reports.exposure(b, ["slice"], "s", F.col("s") == 1)

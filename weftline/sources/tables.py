@@ -181,3 +181,23 @@ def metric_rows(report: Mapping) -> list[tuple[str, str, float]]:
 
     walk(report, ())
     return out
+
+
+def pinned(spark: SparkSession, path: str, selection: Mapping, make) -> DataFrame:
+    """The table that make() gave when path was first asked for with this selection; raises if it was made for another one."""
+    body = json.dumps(dict(selection), sort_keys=True)
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    if not at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+        write_with_manifest(make(), path, body)
+    return read_with_manifest(spark, path, body)
+
+
+def provenance(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """name, rows and digest of each table of a release, in one table."""
+    from weftline.operators.reports import table_digest
+
+    out = None
+    for name, df in tables.items():
+        one = table_digest(df, df.columns).select(F.lit(name).alias("name"), "rows", "digest")
+        out = one if out is None else out.union(one)
+    return out
