@@ -276,7 +276,7 @@ def translation_edit_rate(t):
     """Edits with block moves over reference words; the target beside itself with its first eight words moved to the end."""
     words = F.split("tgt", "\\s+")
     moved = F.concat_ws(" ", F.slice(words, F.lit(9), F.greatest(F.size(words) - 8, F.lit(0))), F.slice(words, 1, 8))
-    p = pairs(t).select("row_id", moved.alias("hyp"), F.concat_ws(" ", words).alias("ref")).repartition("row_id")  # much work per row
+    p = pairs(t).select("row_id", moved.alias("hyp"), F.concat_ws(" ", words).alias("ref")).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "row_id")  # much work per row
     return metrics.edit_rate(p, "row_id", "hyp", "ref")
 
 

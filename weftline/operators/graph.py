@@ -7,24 +7,26 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.relational import with_totals
 from weftline.plans.storage import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links each node's larger neighbours to its least neighbour (or itself). Edges have a > b.
 
-    A node that a third of all others are linked to has its edges dealt over salts (with_totals), as in the small star.
+    The join has all edges of a node on one side and one row of it on the other: Spark splits it where a node's edges are
+    more than a task should hold (adaptive skew joins). Salts of our own would double the stages of every round.
     """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = with_totals(both, ["a"], "b", m=("min", F.col("b")))
-    return least.where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    return edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links each node and its smaller neighbours to the least of them. Edges have a > b."""
-    least = with_totals(edges, ["a"], "b", m=("min", F.col("b")))
-    return least.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.when(F.col("b") != F.col("m"), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).alias("e")).where("e is not null").select("e.a", "e.b").distinct()
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    joined = edges.join(least, "a")
+    out = joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return out.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:
