@@ -57,7 +57,7 @@ class Encoder:
     different one that isn't known is encoded, and the ids are gathered. Odd rows go through the tokenizer whole.
     """
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 400_000):
         import base64
 
         import public_tokenizers as files
@@ -134,7 +134,7 @@ def _pieces(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, end_token = record(_PIECES), struct.pack("<I", END)
         uid = TaskContext.get().partitionId() << 38
-        for batch, data, bounds in chunks(batches, limit=4 << 20):
+        for batch, data, bounds in chunks(batches):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder()(data, bounds)):
                 n = len(ids) + 1
