@@ -296,10 +296,10 @@ def left_first_match(t):
 # ---- caches, reconciliation, registries ----
 
 
-@query("SELECT DISTINCT user_id, 'purchase' AS event_type FROM events WHERE NOT EXISTS (SELECT 1 FROM events c WHERE c.user_id = events.user_id AND c.event_type = 'purchase')")
+@query("SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE NOT EXISTS (SELECT 1 FROM events c WHERE c.user_id = events.user_id AND CAST(c.ts AS DATE) = CAST(events.ts AS DATE) AND c.event_type = 'purchase')")
 def cache_anti_join(t):
-    wanted = t.events.select("user_id", F.lit("purchase").alias("event_type"))
-    return R.missing_keys(wanted, t.events.where("event_type = 'purchase'"), ["user_id", "event_type"])
+    wanted = t.events.select("user_id", F.to_date("ts").alias("day"), "event_type")
+    return R.missing_keys(wanted, wanted.where("event_type = 'purchase'"), ["user_id", "day"])
 
 
 @query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -323,10 +323,15 @@ def inventory_reconcile(t):
     return R.reconcile(t.documents, t.labels, "doc_id")
 
 
-@query(f"SELECT key, n_labels FROM (SELECT md5({_key('text')}) AS key, count(DISTINCT quality) AS n_labels FROM documents JOIN labels USING (doc_id) GROUP BY 1) WHERE n_labels > 1")
+_REGISTERED = "CASE WHEN doc_id % 20 < 17 THEN 'train' WHEN doc_id % 20 = 17 THEN 'validate' ELSE 'test' END"
+
+
+@query(f"SELECT key, rows, n_splits FROM (SELECT md5({_key('text')}) AS key, count(*) AS rows, count(DISTINCT {_REGISTERED}) AS n_splits FROM documents WHERE doc_id % 5 <> 4 GROUP BY 1) WHERE n_splits > 1")
 def registry_join_conflicts(t):
-    d = t.documents.select("doc_id", F.md5(X.key(F.col("text")).cast("binary")).alias("key")).join(t.labels, "doc_id")
-    return d.groupBy("key").agg(F.countDistinct("quality").alias("n_labels")).where("n_labels > 1")
+    """Groups of equal texts whose registered rows are in two splits."""
+    registry = t.documents.where("doc_id % 5 <> 4").select("doc_id", F.expr(_REGISTERED).alias("split"))
+    d = t.documents.select("doc_id", F.md5(X.key(F.col("text")).cast("binary")).alias("key")).join(registry, "doc_id")
+    return d.groupBy("key").agg(F.count("*").alias("rows"), F.countDistinct("split").alias("n_splits")).where("n_splits > 1")
 
 
 @query(f"SELECT count(DISTINCT d.k) AS documents_unique, (SELECT count(DISTINCT {_key('text')}) FROM benchmark) AS benchmark_unique, count(DISTINCT b.k) AS overlap_unique FROM (SELECT {_key('text')} AS k FROM documents) d LEFT JOIN (SELECT {_key('text')} AS k FROM benchmark) b ON b.k = d.k")
@@ -357,9 +362,13 @@ def edit_neighbourhood_join(t):
     return similarity.edit_conflicts(p.where("p_size <= 5"), p.where("p_size > 5"), "x", ["scope"]).select("p_partkey")
 
 
-@query(f"WITH n AS (SELECT x, c, unnest({_DEL}) AS k FROM (SELECT lower(p_name) AS x, count(*) AS c FROM part GROUP BY 1)), s AS (SELECT k FROM n GROUP BY k HAVING sum(c) > 1) SELECT p_partkey FROM part WHERE lower(p_name) IN (SELECT x FROM n WHERE k IN (SELECT k FROM s))")
+_NUMBERED = "CASE WHEN p_partkey % 6 = 5 THEN substr(md5(CAST(p_partkey - 1 AS VARCHAR)), 2, 11) ELSE substr(md5(CAST(p_partkey % 1800 AS VARCHAR)), 1, 12) END"
+
+
+@query(f"WITH p AS (SELECT p_partkey, {_NUMBERED} AS x FROM part), n AS (SELECT x, c, unnest({_DEL}) AS k FROM (SELECT x, count(*) AS c FROM p GROUP BY 1)), s AS (SELECT k FROM n GROUP BY k HAVING sum(c) > 1) SELECT p_partkey FROM p WHERE x IN (SELECT x FROM n WHERE k IN (SELECT k FROM s))")
 def edit_self_conflicts(t):
-    p = t.part.select("p_partkey", F.lower("p_name").alias("x"), F.lit("all").alias("scope"))
+    """Rows whose value equals another's, or lacks its first character (every sixth row's does); the others are far from all."""
+    p = t.part.select("p_partkey", F.expr(_NUMBERED.replace("VARCHAR", "STRING")).alias("x"), F.lit("all").alias("scope"))
     return similarity.edit_conflicts(p, p, "x", ["scope"], "p_partkey").select("p_partkey")
 
 
@@ -445,12 +454,12 @@ def leakage_groups(t):
     return p.join(root, "x").select("p_partkey", "root")
 
 
-@query(f"WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), r(node, round) AS (SELECT DISTINCT lower(p_name), 0 FROM part WHERE p_partkey <= 3 UNION SELECT e.b, r.round + 1 FROM r JOIN e ON e.a = r.node WHERE r.round < 70) SELECT node, min(round) AS round FROM r GROUP BY node")
+@query(f"WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), r(node, round) AS (SELECT DISTINCT lower(p_name), 0 FROM part WHERE p_size = 50 UNION SELECT e.b, r.round + 1 FROM r JOIN e ON e.a = r.node WHERE r.round < 70) SELECT node, min(round) AS round FROM r GROUP BY node")
 def neighbourhood_closure(t):
-    p = t.part.select("p_partkey", F.lower("p_name").alias("x"))
+    p = t.part.select("p_size", F.lower("p_name").alias("x"))
     names = p.select("x").distinct().select("x", F.xxhash64(F.lit("all"), "x").alias("node"))
     edges = similarity.deletion_edges(names.withColumn("scope", F.lit("all")), "x", ["scope"])
-    seeds = p.where("p_partkey <= 3").select(F.xxhash64(F.lit("all"), "x").alias("node"))
+    seeds = p.where("p_size = 50").select(F.xxhash64(F.lit("all"), "x").alias("node"))
     return closure(edges, seeds).join(names, "node").select(F.col("x").alias("node"), "round")
 
 
@@ -515,10 +524,30 @@ def crosstab_lang_source(t):
     return t.documents.groupBy("lang", "source").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT lang, count(*) AS rows, count(*) FILTER ({_tokens('text')} < 50) AS short, count(*) FILTER ({_terminal('text')}) / count(*) AS terminal_share, count(DISTINCT source) AS sources FROM documents GROUP BY lang")
+_REPORT = f"SELECT *, {_tokens('text')} AS tk, {_terminal('text')} AS term, {_unbalanced('text')} AS unb, {_numbered('text')} AS num, {_SPLIT} AS sp FROM documents"
+
+
+@query(f"""SELECT lang, count(*) AS rows, count(*) FILTER (tk < 50) AS short, count(*) FILTER (tk > 1000) AS long, count(*) FILTER (term) / count(*) AS terminal_share, count(DISTINCT source) AS sources, CAST(sum(tk) AS BIGINT) AS tokens, avg(tk) AS mean_tokens, CAST(max(tk) AS BIGINT) AS most_tokens, CAST(sum(n_chars) AS BIGINT) AS characters,
+count(*) FILTER (unb) AS unbalanced, count(*) FILTER (num) AS numbered, count(*) FILTER (sp = 'train') AS train, count(*) FILTER (sp = 'validate') AS validate, count(*) FILTER (sp = 'test') AS test, count(*) FILTER (sp = 'test') / count(*) AS test_share, count(*) FILTER (sp = 'validate') / count(*) AS validate_share,
+CAST(ceil(count(*) * 0.1::DOUBLE) AS BIGINT) AS target_test, CAST(ceil(count(*) * 0.05::DOUBLE) AS BIGINT) AS target_validate, count(*) FILTER (tk >= 2 AND tk <= 384) AS eligible FROM ({_REPORT}) GROUP BY lang""")
 def language_report(t):
-    x = F.col("text")
-    return t.documents.groupBy("lang").agg(F.count("*").alias("rows"), F.count_if(X.token_count(x) < 50).alias("short"), (F.count_if(X.terminal(x)) / F.count("*")).alias("terminal_share"), F.countDistinct("source").alias("sources"))
+    x, n, one = F.col("text"), F.col("tk"), lambda s: F.count_if(F.col("sp") == s)
+    d = t.documents.select("lang", "source", "n_chars", X.token_count(x).alias("tk"), X.terminal(x).alias("term"), X.unbalanced(x).alias("unb"), X.numbered_sequence(x).alias("num"), F.expr(_SPLIT).alias("sp"))
+    rows = F.count("*")
+    return d.groupBy("lang").agg(
+        rows.alias("rows"), F.count_if(n < 50).alias("short"), F.count_if(n > 1000).alias("long"), (F.count_if("term") / rows).alias("terminal_share"), F.countDistinct("source").alias("sources"), F.sum(n).alias("tokens"), F.avg(n).alias("mean_tokens"), F.max(n).alias("most_tokens"), F.sum("n_chars").alias("characters"), F.count_if("unb").alias("unbalanced"), F.count_if("num").alias("numbered"),
+        one("train").alias("train"), one("validate").alias("validate"), one("test").alias("test"), (one("test") / rows).alias("test_share"), (one("validate") / rows).alias("validate_share"), F.ceil(rows * F.lit(0.1)).cast("long").alias("target_test"), F.ceil(rows * F.lit(0.05)).cast("long").alias("target_validate"), F.count_if(n.between(2, 384)).alias("eligible"),
+    )
+
+
+@query(f"""WITH s AS (SELECT lang, source, count(*) AS rows, count(*) FILTER (sp = 'test') AS test, count(*) FILTER (sp = 'validate') AS validate, count(*) FILTER (sp <> 'train') AS held FROM (SELECT *, {_SPLIT} AS sp FROM documents) GROUP BY ALL), l AS (SELECT lang, sum(rows) AS all_rows, sum(held) AS all_held FROM s GROUP BY lang)
+SELECT s.lang, s.source, s.rows, s.test, s.validate, s.rows / l.all_rows::DOUBLE AS share, coalesce(s.held / nullif(l.all_held, 0)::DOUBLE, 0) AS held_share, 0.5 * sum(abs(s.rows / l.all_rows::DOUBLE - coalesce(s.held / nullif(l.all_held, 0)::DOUBLE, 0))) OVER (PARTITION BY s.lang) AS tvd FROM s JOIN l USING (lang)""")
+def strata_report(t):
+    """Each stratum's share of its language's rows and of its held-out rows, and the distance between the two distributions."""
+    s = t.documents.withColumn("sp", F.expr(_SPLIT)).groupBy("lang", "source").agg(F.count("*").alias("rows"), F.count_if(F.col("sp") == "test").alias("test"), F.count_if(F.col("sp") == "validate").alias("validate"), F.count_if(F.col("sp") != "train").alias("held"))
+    w = Window.partitionBy("lang")
+    s = s.withColumns({"share": F.col("rows") / F.sum("rows").over(w), "held_share": F.coalesce(F.try_divide(F.col("held"), F.sum("held").over(w)), F.lit(0.0))})
+    return s.withColumn("tvd", 0.5 * F.sum(F.abs(F.col("share") - F.col("held_share"))).over(w)).drop("held")
 
 
 @query("""WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), l AS (SELECT lang, sum(n) AS s FROM c GROUP BY 1), a AS (SELECT source, sum(n) AS n FROM c GROUP BY 1), t AS (SELECT sum(n) AS t FROM a)
