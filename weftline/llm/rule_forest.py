@@ -120,16 +120,18 @@ def _scored(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def calibrate(scored: DataFrame, labels: DataFrame, lost: float = 0.005) -> float:
-    """The least cut above which at most lost of the labelled good rows lie, and no larger than needed to part the labels."""
+    """The least cut above which at most lost of the labelled good rows lie, and no larger than needed to part the labels; infinite where there is none."""
     seen = scored.where("not base_failed").join(labels.where("quality in (0, 1)").select("doc_id", "quality"), "doc_id")
     rows = seen.groupBy("quality", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()  # 2 x BINS at most
     good, bad = np.zeros(BINS + 1), np.zeros(BINS + 1)
     for r in rows:
         (good if r["quality"] == 1 else bad)[r["bin"]] += r["count"]
     if not good.sum():
-        return 1.0
+        return float("inf")
     above_good, above_bad = np.cumsum(good[::-1])[::-1], np.cumsum(bad[::-1])[::-1]
     ok = np.flatnonzero(above_good <= lost * good.sum())
+    if not len(ok):
+        return float("inf")  # so few good rows that even the greatest score of all cuts off too many
     # Among the cuts that lose few good rows, the middle of the widest that catch the most bad ones.
     best = ok[above_bad[ok] == above_bad[ok].max()]
     return float(best[len(best) // 2] / BINS)
