@@ -201,20 +201,23 @@ FROM (SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS first, c
 
 
 def decided(t: Tables) -> DataFrame:
-    every = rules.document_rules()
-    d = t.documents.withColumn("_rule", rules.decide(every))
-    return d.select("doc_id", "text", "lang", *rules.named(every, F.col("_rule")), F.array_join(rules.gather(rules.document_flags()), "|").alias("flags"))
+    """doc_id, lang, disposition, reason, flags and _key of every document; white space and tokens are looked at once."""
+    n = F.col("_n")
+    every = rules.document_rules(tokens=n)
+    d = t.documents.select("doc_id", "lang", "text", X.ws(F.col("text")).alias("_ws")).withColumn("_n", X.token_count(F.col("_ws"), spaced=True))
+    d = d.withColumn("_rule", rules.decide(every))
+    return d.select("doc_id", "lang", *rules.named(every, F.col("_rule")), F.array_join(rules.gather(rules.document_flags(tokens=n)), "|").alias("flags"), F.sha2(F.lower("_ws").cast("binary"), 256).alias("_key"))
 
 
 def ledger_rows(t: Tables) -> DataFrame:
     # The key is hashed, so that texts aren't shuffled; rules run once, then only the small rows are read.
-    rows = stored(decided(t).withColumn("_key", F.sha2(X.key(F.col("text")).cast("binary"), 256)).drop("text"), "decided")
+    rows = stored(decided(t), "decided")
     return R.ledger(rows, ["lang", "_key"], [F.col("doc_id")], "doc_id").select("doc_id", "disposition", "reason", "flags", "canonical_id", "group_size")
 
 
 @query(f"SELECT doc_id, disposition, reason, flags FROM ({DECIDED})")
 def quality_disposition(t):
-    return decided(t).drop("text", "lang")
+    return decided(t).drop("lang", "_key")
 
 
 @query(f"SELECT disposition || ':' || reason AS reason, count(*) AS n FROM ({_LEDGER}) GROUP BY 1")
@@ -224,7 +227,7 @@ def quality_reason_counts(t):
 
 @query(f"SELECT flag, count(*) AS n FROM (SELECT unnest(string_split(flags, '|')) AS flag FROM ({DECIDED})) WHERE flag <> '' GROUP BY 1")
 def quality_flag_counts(t):
-    return decided(t).select(F.explode(F.split("flags", "\\|")).alias("flag")).where("flag <> ''").groupBy("flag").agg(F.count("*").alias("n"))
+    return decided(t).select(F.explode_outer(F.split("flags", "\\|")).alias("flag")).where("flag <> ''").groupBy("flag").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT *, input_rows = accepted + rejected + quarantine + duplicates AS conserved FROM (SELECT count(*) AS input_rows, count(*) FILTER (disposition = 'accepted') AS accepted, count(*) FILTER (disposition = 'rejected') AS rejected, count(*) FILTER (disposition = 'quarantine') AS quarantine, count(*) FILTER (disposition = 'duplicate') AS duplicates FROM ({_LEDGER}))")
@@ -344,7 +347,7 @@ def split_overlap_summary(t):
 @query(f"""WITH w AS (SELECT doc_id, doc_id % 10 = 0 AS eval, unnest(string_split({_key('text')}, ' ')) AS w FROM documents),
 v AS (SELECT DISTINCT w FROM w WHERE NOT eval) SELECT doc_id, count(*) AS tokens, count(*) FILTER (v.w IS NULL) AS unknown FROM w LEFT JOIN v ON v.w = w.w WHERE eval AND w.w <> '' GROUP BY doc_id""")
 def vocab_oov_rate(t):
-    w = t.documents.select("doc_id", (F.col("doc_id") % 10 == 0).alias("eval"), F.explode(F.split(X.key(F.col("text")), " ")).alias("w")).where("w <> ''")
+    w = t.documents.select("doc_id", (F.col("doc_id") % 10 == 0).alias("eval"), F.explode_outer(F.split(X.key(F.col("text")), " ")).alias("w")).where("w <> ''")
     known = w.where("not eval").select("w").distinct().withColumn("known", F.lit(1))
     seen = w.where("eval").groupBy("doc_id", "w").agg(F.count("*").alias("n")).join(known, "w", "left")
     return seen.groupBy("doc_id").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("unknown"))

@@ -54,13 +54,13 @@ def row_id(*parts: Column) -> Column:
     return F.substring(F.sha2(joined(*(F.when(p.cast("string") == "0", "").otherwise(F.coalesce(F.trim(p.cast("string")), F.lit(""))) for p in parts)).cast("binary"), 256), 1, 24)
 
 
-def tokens(x: Column) -> Column:
-    """White-space tokens with a letter, number or mark."""
-    return F.filter(F.split(ws(x), " "), lambda t: t.rlike(ALNUM))
+def tokens(x: Column, spaced: bool = False) -> Column:
+    """White-space tokens with a letter, number or mark; spaced says that x has single spaces already (ws)."""
+    return F.filter(F.split(x if spaced else ws(x), " "), lambda t: t.rlike(ALNUM))
 
 
-def token_count(x: Column) -> Column:
-    return F.size(tokens(x)).cast("long")
+def token_count(x: Column, spaced: bool = False) -> Column:
+    return F.size(tokens(x, spaced)).cast("long")
 
 
 def han_count(x: Column, narrow: bool = False) -> Column:
@@ -76,7 +76,8 @@ def target_units(x: Column, language: str, narrow: bool = False) -> Column:
 
 def terminal(x: Column) -> Column:
     """Ends in a terminal mark, closers and white space aside (closers with spaces between them don't count)."""
-    return F.coalesce(x, F.lit("")).rlike("[.!?。！？]\\s*[\"'”’)\\]}》」』]*\\s*$")
+    # From the end: the search stops where it starts, however long the text is.
+    return F.reverse(F.coalesce(x, F.lit(""))).rlike("^\\s*[\"'”’)\\]}》」』]*\\s*[.!?。！？]")
 
 
 def only_symbols(x: Column) -> Column:
@@ -102,7 +103,13 @@ def occurrences(x: Column, mark: str) -> Column:
 
 
 def unbalanced(x: Column) -> Column:
-    x = F.coalesce(x, F.lit(""))
+    """Marks that should come in pairs and don't. All other characters go first, so that the counts run over little."""
+    marks = "".join(a + b for a, b in DELIMITER_PAIRS) + "\"“”"
+    kept = F.regexp_replace(F.coalesce(x, F.lit("")), "[^" + "".join(f"\\{c}" if c in "()[]{}" else c for c in marks) + "]+", "")
+    return F.transform(F.array(kept), _unpaired)[0]
+
+
+def _unpaired(x: Column) -> Column:
     out = (occurrences(x, '"') % 2 == 1) | (occurrences(x, "“") != occurrences(x, "”"))
     for a, b in DELIMITER_PAIRS:
         out = out | (occurrences(x, a) != occurrences(x, b))

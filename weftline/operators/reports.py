@@ -12,7 +12,7 @@ from weftline.operators.similarity import edit_conflicts, ngram_pairs
 def rule_totals(rows: DataFrame, by: list[str], counts: dict[str, Column]) -> DataFrame:
     """by, rule, total, rows: sums of per-row counters named by rule, and the rows that have any."""
     every = F.array(*(F.struct(F.lit(k).alias("rule"), c.cast("long").alias("n")) for k, c in counts.items()))
-    flat = rows.select(*by, F.explode(F.filter(every, lambda x: x["n"] > 0)).alias("c"))
+    flat = rows.select(*by, F.explode_outer(F.filter(every, lambda x: x["n"] > 0)).alias("c")).where("c is not null")
     return flat.groupBy(*by, F.col("c.rule").alias("rule")).agg(F.sum("c.n").alias("total"), F.count("*").alias("rows"))
 
 

@@ -235,12 +235,13 @@ def judge_pairs(pairs: DataFrame, src: str = "src", tgt: str = "tgt", **options)
     return out.select(*pairs.columns, disposition, reason, F.when(F.col("_rule").isNull(), gather(flags)).otherwise(F.array().cast("array<string>")).alias("flags"))
 
 
-def document_rules(text: str = "text", most_tokens: int = 2000) -> list[Rule]:
-    """The part of the catalogue that single documents can be judged by."""
+def document_rules(text: str = "text", most_tokens: int = 2000, tokens: Column | None = None) -> list[Rule]:
+    """The part of the catalogue that single documents can be judged by; tokens is their number, if a column has it already."""
     t = F.coalesce(F.col(text), F.lit(""))
+    tokens = X.token_count(t) if tokens is None else tokens
     return [
         Rule("empty_or_punctuation_only", "rejected", X.only_symbols(t)),
-        Rule("model_length_overflow", "quarantine", X.token_count(t) > most_tokens),
+        Rule("model_length_overflow", "quarantine", tokens > most_tokens),
         Rule("url", "quarantine", t.rlike(X.URL)),
         Rule("markup", "quarantine", t.rlike(X.MARKUP)),
         Rule("repeated_symbol_noise", "quarantine", t.rlike("#{8,}|\\*{8,}|!{8,}|\\.{8,}")),
@@ -248,9 +249,10 @@ def document_rules(text: str = "text", most_tokens: int = 2000) -> list[Rule]:
     ]
 
 
-def document_flags(text: str = "text") -> list[tuple[str, Column]]:
+def document_flags(text: str = "text", tokens: Column | None = None) -> list[tuple[str, Column]]:
     t = F.coalesce(F.col(text), F.lit(""))
-    return [("unbalanced_delimiters", X.unbalanced(t)), ("no_terminal_mark", ~X.terminal(t)), ("numbered_sequence", X.numbered_sequence(t)), ("short", X.token_count(t) < 50)]
+    tokens = X.token_count(t) if tokens is None else tokens
+    return [("unbalanced_delimiters", X.unbalanced(t)), ("no_terminal_mark", ~X.terminal(t)), ("numbered_sequence", X.numbered_sequence(t)), ("short", tokens < 50)]
 
 
 def eligible(pairs: DataFrame, src: str = "src", tgt: str = "tgt", flags: str | None = None, row_type: str | None = None, usable: str | None = None, confidence: str | None = None, least_src: int = 2, least_tgt: int = 2, least_both: int = 6, least_punctuated: int = 5, most: int = 384, language: str = "english") -> Column:
@@ -276,4 +278,4 @@ SECRETS = (("private_key", "-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
 def scan_secrets(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """A row per document and kind of finding: ident, finding, hits."""
     kinds = F.array(*(F.struct(F.lit(name).alias("finding"), F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(p)).cast("long").alias("hits")) for name, p in SECRETS))
-    return docs.select(ident, F.explode(F.filter(kinds, lambda k: k["hits"] > 0)).alias("k")).select(ident, "k.finding", "k.hits")
+    return docs.select(ident, F.explode_outer(F.filter(kinds, lambda k: k["hits"] > 0)).alias("k")).where("k is not null").select(ident, "k.finding", "k.hits")

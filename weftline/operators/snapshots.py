@@ -94,7 +94,7 @@ def repairs(rows: DataFrame, keys: list[str], text: str, steps: Steps) -> DataFr
     for i, (_, step) in enumerate(steps):
         work = work.withColumn(f"_w{i + 1}", step(F.col(f"_w{i}")))
     every = F.array(*(F.when(F.col(f"_w{i}") != F.col(f"_w{i + 1}"), F.struct(F.lit(name).alias("repair"), sha(F.col(f"_w{i}")).alias("before_sha256"), sha(F.col(f"_w{i + 1}")).alias("after_sha256"))) for i, (name, _) in enumerate(steps)))
-    return work.select(*keys, F.explode(F.filter(every, lambda x: x.isNotNull())).alias("r")).select(*keys, "r.repair", "r.before_sha256", "r.after_sha256")
+    return work.select(*keys, F.explode_outer(F.filter(every, lambda x: x.isNotNull())).alias("r")).where("r is not null").select(*keys, "r.repair", "r.before_sha256", "r.after_sha256")
 
 
 def inventory(before: DataFrame, after: DataFrame, ident: str, index: str) -> DataFrame:
