@@ -156,7 +156,8 @@ def thresholds(annotated: DataFrame, tested: str = "_weft_tested", q: float = 0.
     none is no proof of none), so that noise in small strata doesn't cut off their random strings; the error vanishes beside
     the estimate as a stratum grows. One aggregation into a histogram of at most encodings x bands x BINS rows.
     """
-    rows = annotated.select(F.explode(tested).alias("c")).groupBy(F.col("c.e").alias("e"), _band(F.col("c.n")).alias("band"), F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).alias("bin")).count().collect()
+    # Not explode: Spark would put a filter of empty arrays before it, and so run the whole scan again for it.
+    rows = annotated.select(F.explode_outer(tested).alias("c")).where("c is not null").groupBy(F.col("c.e").alias("e"), _band(F.col("c.n")).alias("band"), F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).alias("bin")).count().collect()
     strata: dict[tuple[str, int], list[int]] = {}
     for r in rows:
         strata.setdefault((r["e"], r["band"]), [0] * BINS)[int(r["bin"])] += r["count"]

@@ -60,7 +60,7 @@ def host_scores(pages: DataFrame, rules=RULES, damping: float = 0.85, tolerance:
     blocked = [r for v, r in rules if v == "block"]
     share = lambda names: F.sum(F.when(F.col("rule").isin(names), 1).otherwise(0)) / F.count("*")
     seeds = pages.where("host <> ''").groupBy("host").agg(share(allowed).alias("t"), share(blocked).alias("b"))
-    links = pages.where("host <> ''").select("host", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), lambda h: F.translate(h, UPPER, LOWER)))).alias("to"))
+    links = pages.where("host <> ''").select("host", F.explode_outer(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), lambda h: F.translate(h, UPPER, LOWER)))).alias("to"))
     links = stored(links.where("host <> to").groupBy("host", "to").agg(F.count("*").cast("double").alias("w")), "host-links")
     forward = links.select(F.col("host").alias("a"), F.col("to").alias("b"), "w", F.lit("t").alias("way"))
     both = forward.union(links.select(F.col("to").alias("a"), F.col("host").alias("b"), "w", F.lit("b").alias("way")))
