@@ -134,3 +134,12 @@ def test_gates_count_planted_violations(spark):
     got = gates(rows(bad))
     assert {k: got.get(k) for k in ("synthetic_eval", "ineligible_eval", "ambiguous_eval", "lexical_eval", "non_sentence_eval", "uncertain_language_eval", "train_src_key", "train_src_skeleton")} == dict.fromkeys(("synthetic_eval", "ineligible_eval", "ambiguous_eval", "lexical_eval", "non_sentence_eval", "uncertain_language_eval", "train_src_key", "train_src_skeleton"), 1)
     assert got["one_edit_src"] >= 1 and "ngram_src" in got and "train_tgt_key" not in got
+
+
+def test_prompts_name_the_source_language(spark):
+    from weftline.operators import rules
+
+    d = spark.createDataFrame([("Elvish: a", "a b c d"), ("native: a", "a b c d")], "tgt string, src string")
+    reason = lambda **o: [r.reason for r in rules.judge_pairs(d, **o).collect()]
+    assert reason()[1] == "target_prompt_scaffolding" != reason()[0]
+    assert reason(source_name="Elvish")[0] == "target_prompt_scaffolding" != reason(source_name="Elvish")[1]

@@ -83,7 +83,7 @@ def dropped_out(df: DataFrame, ident: str, chances: Mapping[str, tuple[float, st
     return df.withColumns({c: F.when(share(F.col(ident), f"{salt}:{c}:") < p, F.lit(default)).otherwise(F.col(c)) for c, (p, default) in chances.items()})
 
 
-def pivot_rules(row_type: Column, path: Column, usable: Column, confidence: Column, src: Column, tgt: Column, least_src: int = 3, least_tgt: int = 3, allowed=("sentence",)) -> list[Rule]:
+def pivot_rules(row_type: Column, path: Column, usable: Column, confidence: Column, src: Column, tgt: Column, least_src: int = 3, least_tgt: int = 3, allowed=("sentence",), source_name: str | None = None) -> list[Rule]:
     """Why a row isn't sent to translation: own reasons first, then gloss and metadata reasons of the text."""
     from weftline.operators import rules as of
 
@@ -95,7 +95,7 @@ def pivot_rules(row_type: Column, path: Column, usable: Column, confidence: Colu
         Rule("ambiguous_standardization", "skipped", F.lower(F.trim(F.coalesce(confidence, F.lit("")))) == "ambiguous"),
         Rule("short_source", "skipped", X.token_count(src) < least_src),
         Rule("short_pivot", "skipped", X.token_count(tgt) < least_tgt),
-        Rule("target_prompt_scaffolding", "skipped", tgt.rlike(of.PROMPT)),
+        Rule("target_prompt_scaffolding", "skipped", tgt.rlike(of.prompt_pattern(source_name))),
         Rule("target_annotation_gloss", "skipped", of.gloss_structure(tgt)),
         Rule("target_linguistic_analysis", "skipped", of.linguistic_analysis(tgt, "english")),
         Rule("embedded_missing_translation_marker", "skipped", tgt.rlike(of.EMBEDDED_MISSING)),

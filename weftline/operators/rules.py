@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,7 @@ GENERIC_CODE = "^[A-Z][A-Z0-9]{1,9}$"
 MIXED_CODE = "^(?=.{2,8}$)(?=.*[a-z])(?=(?:[^A-Z]*[A-Z]){2})[A-Za-z][A-Za-z0-9]*$"
 MISSING = "(?i)^\\s*(?:\\[?\\s*translation\\s+missing\\s*\\]?|\\(?no\\s+record\\)?|無翻譯|缺翻譯|n/?a|null|nan)\\s*$"
 EMBEDDED_MISSING = "(?i)(?:[\\[【(（]\\s*)?(?:translation\\s+(?:missing|unavailable|not\\s+available)|missing\\s+translation|no\\s+translation|無翻譯|缺翻譯)(?:\\s*[\\]】)）])?"
-PROMPT = "(?i)^\\s*(?:source|target|translation|reference|english|chinese|native)\\s*:\\s*"
+PROMPT = "(?i)^\\s*(?:source|target|translation|reference|english|chinese|native)\\s*:\\s*"  # native: the source language's name, see prompt_pattern
 PROVENANCE = "(?i)(?:^|[\\s(（\\[])(?:source|sources|citation|reference|references|note|author|book\\s+title)\\s*:\\s*\\S|(?:^|[\\[(（])\\s*(?:(?:this|the)\\s+(?:passage|article|text|story)\\s+(?:is|was)\\s+)?(?:excerpted\\s+and\\s+)?(?:adapted|retold)\\s+from\\s+\\S|(?:資料來源|來源|出處)\\s*[:：]\\s*\\S"
 COMMENTARY = "(?i)\\b(?:(?:literal|word[- ]for[- ]word|free)\\s+translation|literal\\s+meaning|translation\\s+note)\\s*:\\s*\\S|(?:直譯|逐字翻譯|意譯|翻譯說明)\\s*[:：]\\s*\\S"
 GRAMMAR = "(?i)\\b(?:case\\s+marker|(?:nominative|oblique|genitive|accusative|ergative)\\s+(?:case|marker)|(?:actor|agent|patient|object|subject|locative)\\s+focus)\\b"
@@ -70,6 +71,11 @@ SPEAKER = "^[A-Z][：:]\\s*"
 BLOCKING_FLAGS = ("contains_unclear", "unknown_row_type", "definition_like_sentence", "heading_like_target", "length_asymmetry", "lexical_content_sentence", "target_fragment", "english_language_uncertain", "unbalanced_target_delimiters")
 
 
+def prompt_pattern(source_name: str | None = None) -> str:
+    """PROMPT with the source language's name in the place of the word native."""
+    return PROMPT if source_name is None else PROMPT.replace("native", re.escape(source_name.lower()))
+
+
 def _letters(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), "[^\\p{L}\\p{N}\\p{M}]", "")
 
@@ -132,9 +138,10 @@ def _heading(x: Column) -> Column:
     return (F.trim(x) != "") & ~X.terminal(x) & F.size(words).between(2, 4) & F.forall(words, lambda w: w.rlike("^[A-Z][A-Za-z'’-]*$"))
 
 
-def pair_rules(src: str = "src", tgt: str = "tgt", language: str = "english", meta: dict[str, str] | None = None, most_units: int | None = 384, keep_redactions: bool = False) -> tuple[list[Rule], list[tuple[str, Column]]]:
+def pair_rules(src: str = "src", tgt: str = "tgt", language: str = "english", meta: dict[str, str] | None = None, most_units: int | None = 384, keep_redactions: bool = False, source_name: str | None = None) -> tuple[list[Rule], list[tuple[str, Column]]]:
     """The catalogue for sentence pairs: ordered rules and flags. meta names the optional columns (row_type, kind, namespace,
-    status, status_reason, alias, translation_kind, unit_context, path, unclear); rules on columns that aren't there don't apply."""
+    status, status_reason, alias, translation_kind, unit_context, path, unclear); rules on columns that aren't there don't apply.
+    source_name is the source language's, as prompts name it."""
     meta = meta or {}
     s, t = F.coalesce(F.col(src), F.lit("")), F.coalesce(F.col(tgt), F.lit(""))
     have = lambda k, default: F.coalesce(F.col(meta[k]).cast("string"), F.lit("")) if k in meta else F.lit(default)
@@ -161,7 +168,7 @@ def pair_rules(src: str = "src", tgt: str = "tgt", language: str = "english", me
         add("ambiguous_lexical_structure", "quarantine", (kind == "lexeme") & (F.trim(have("unit_context", "")) != "standalone_word"))
     add("target_morphological_gloss", "quarantine", lexical & lexical_gloss(t, language))
     add("ambiguous_lexical_translation", "quarantine", lexical & boundary & (F.lit(language == "chinese") | ~F.trim(t).rlike("(?U)\\s")))
-    add("target_prompt_scaffolding", "quarantine", t.rlike(PROMPT))
+    add("target_prompt_scaffolding", "quarantine", t.rlike(prompt_pattern(source_name)))
     add("target_annotation_gloss", "quarantine", gloss_structure(t))
     add("target_linguistic_analysis", "quarantine", linguistic_analysis(t, language))
     if language == "chinese":
