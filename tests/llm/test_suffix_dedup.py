@@ -59,3 +59,24 @@ def test_mergesort_orders_suffixes():
     group = np.sort(np.array([rng.randrange(20) for _ in pieces]))
     got = Suffixes(pieces, left, group).sorted().tolist()
     assert [(group[i], pieces[i][left[i] :]) for i in got] == sorted((group[i], pieces[i][left[i] :]) for i in range(300))
+
+
+def test_repeated_starts_of_groups_in_blocks_of_any_size():
+    rng = random.Random(5)
+    for _ in range(20):
+        shared = [bytes(rng.choices(b"ab", k=60)) for _ in range(6)]
+        pieces, left, group = [], [], []
+        for g in range(12):
+            for _ in range(rng.randrange(1, 9)):
+                before = bytes(rng.choices(b"ab", k=rng.randrange(0, 9)))
+                pieces.append(before + rng.choice(shared) + bytes(rng.choices(b"ab", k=5)))
+                left.append(len(before) + 10)
+                group.append(g)
+        seen = {}
+        for i, p in enumerate(pieces):
+            for s in range(len(p) - 39):
+                seen.setdefault((group[i], s - left[i], p[s : s + 40]), set()).add(i)
+        want = {(i, offset + left[i]) for (_, offset, _), who in seen.items() if len(who) > 1 for i in who}
+        for most in (1, 50, 300_000):
+            got = {(i, s) for i, lo, hi in zip(*(v.tolist() for v in Suffixes(pieces, np.array(left), np.array(group)).repeated(40, most))) for s in range(lo, hi + 1)}
+            assert got == want

@@ -256,7 +256,7 @@ class Suffixes:
                         hit[other[q]] = hit[first[other[q]]] = True
         return _intervals(seg[hit], rel[hit])
 
-    def repeated(self, length: int) -> tuple[np.ndarray, ...]:
+    def repeated(self, length: int, most_strings: int = 300_000) -> tuple[np.ndarray, ...]:
         """(segment, lo, hi): starts lo .. hi of the segment begin strings that another segment of its group has too."""
         order = self.sorted()
         if len(order) < 2:
@@ -270,7 +270,17 @@ class Suffixes:
         who = np.flatnonzero(most + self.left >= length)
         if not len(who):
             return (np.zeros(0, np.int64),) * 3
-        return self._strings(who, length)
+        # Groups come one after the other: as many are taken together as have most_strings strings.
+        upto = np.cumsum((self.left + self.right)[who] - length + 1)
+        last = np.flatnonzero(np.append(self.group[who[1:]] != self.group[who[:-1]], True))
+        out, at = [], 0
+        while at < len(who):
+            begun = upto[at - 1] if at else 0
+            enough = last[min(np.searchsorted(upto[last], begun + most_strings), len(last) - 1)]
+            end = int(max(enough, last[np.searchsorted(last, at)])) + 1
+            out.append(self._strings(who[at:end], length))
+            at = end
+        return tuple(map(np.concatenate, zip(*out)))
 
 
 def _starts(who: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -443,7 +453,7 @@ def _cut(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, group_segments: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, group_segments: int = 2048) -> DataFrame:
     """Bytes covered by strings of length bytes that also start elsewhere, in any text or the same one.
 
     A row per row of docs (doc_id, text; other columns are ignored): doc_id, n_bytes, n_removed, n_spans (maximal removed
