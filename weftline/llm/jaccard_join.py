@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.parts import part_keys
 from weftline.operators.graph import components
 from weftline.operators.relational import looked_up
 
@@ -35,39 +36,6 @@ _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _LINKS = pa.schema([("class", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
 
-def band_of(n: int, num: int, den: int) -> int:
-    """Sets that can be linked differ by at most one band."""
-    return int(math.log(n) / math.log(den / num) + 1e-9)
-
-
-def _edge(band: int, num: int, den: int) -> int:
-    """No set of this band is larger."""
-    return int(math.exp((band + 1) * math.log(den / num)) + 1e-6) + 1
-
-
-def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Signatures of a sorted set: equal ones are shared by every linked pair."""
-    out = []
-    own = band_of(len(s), num, den)
-    for tile in (own - 1, own):
-        if tile < 0:
-            continue
-        # |a ^ b| = |a u b| - |a n b| <= (1 - t) |a u b| <= (1 - t) (|a| + |b|) / (1 + t)
-        most = (den - num) * (_edge(tile, num, den) + _edge(tile + 1, num, den)) // (den + num)
-        spare = 1 + most // 2
-        parts = most + 1 + spare
-        which = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        size = np.bincount(which.astype(np.int64), minlength=parts)
-        total = np.zeros(len(s) + 1, np.uint64)
-        np.cumsum(s * np.uint64(0x9FB21C651E98DF25) ^ (s >> np.uint64(29)), out=total[1:])
-        ends = np.cumsum(size)
-        value = total[ends] - total[ends - size]
-        label = np.arange(parts, dtype=np.uint64) + np.uint64(tile << 40)
-        key = (value ^ (label * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xFF51AFD7ED558CCD)
-        out.append(np.delete(key ^ (key >> np.uint64(33)), np.argsort(size, kind="stable")[:spare]))
-    return np.concatenate(out)
-
-
 def _class(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
