@@ -3,6 +3,7 @@
 import random
 import re
 
+from weftline.llm import jaccard_join as module
 from weftline.llm.jaccard_join import jaccard_join, keep_representatives
 
 SCHEMA = "doc_id long, text string, class string, n long"
@@ -56,3 +57,20 @@ def test_empty_table_and_representatives(spark):
     rows = make(4)
     kept = {r.doc_id for r in keep_representatives(spark.createDataFrame(rows, SCHEMA), width=3, num=90, den=100).collect()}
     assert kept == {i for i, _, c, _ in brute(rows, 3, 90, 100) if i is None or c == i or c is None}
+
+
+def test_common_passages_make_no_large_tiles(spark):
+    """Different texts that share a passage: no more texts come to the tiles than the near copies among them."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([f"w{rng.randrange(10**9)}" for _ in range(40)] + passage), "x", 1) for i in range(300)]
+    rows += [(1000 + i, t + " end", c, n) for i, t, c, n in rows[:20]]
+    sizes = {}
+    keep = module.stored
+    module.stored = lambda df, name: (out := keep(df, name), sizes.update({name: out.count()}))[0]
+    try:
+        got = jaccard_join(spark.createDataFrame(rows, SCHEMA), 5, 80, 100, 16, 3000)
+        assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 5, 80, 100)
+    finally:
+        module.stored = keep
+    assert sizes["links"] == 40

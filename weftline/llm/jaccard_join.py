@@ -7,7 +7,11 @@
    many spare parts more are made and each set leaves out as many, its smallest: of the spare + 1 or more parts that agree,
    the largest is left out by neither set, and empty parts and those of one shingle don't tie strangers.
 3. Classes that agree in a part are tied by a star; the connected components of the stars hold all links.
-4. Each component is cut into blocks by size band and hash, and each pair of blocks is a tile. In a tile bit counts of
+4. Passages that many texts hold tie strangers, and with the corpus these grow into one component. Classes of components that are
+   too large for a tile are tied anew: each one's shingles are ordered by how many classes of the component hold them, the
+   rarest first, and linked sets have a shingle in common among the first n - ceil(t * n) + 1. So texts with enough
+   shingles of their own fall out.
+5. Each component is cut into blocks by size band and hash, and each pair of blocks is a tile. In a tile bit counts of
    hashed bitmaps bound the overlap from above; what passes is counted exactly on the sorted hashes.
 
 No pair leaves a task: a tile returns a row per class with its count of links and the least class it is linked to.
@@ -24,14 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.parts import part_keys
+from weftline.functions.parts import mix, part_keys
 from weftline.operators.graph import components
 from weftline.operators.relational import looked_up
+from weftline.plans.storage import discard
 
 from .common import as_long, chunks, dealt, grouped, partitions, record, shingle_sets, stored, text_bytes
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("class", pa.int64())])
 _BLOBS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("classes", pa.binary()), ("which", pa.binary())])
+_OWNED = pa.schema([("bucket", pa.int32()), ("entries", pa.binary())])
+_ENTRY = np.dtype([("class", "<i8"), ("key", "<u8"), ("owners", "<u4"), ("n", "<u4")])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _LINKS = pa.schema([("class", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
@@ -83,6 +90,89 @@ def _blobs(width: int, num: int, den: int, n: int):
     return run
 
 
+def _bucket(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by n buckets of scrambled words, and the buckets' bounds in it."""
+    bucket = ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n + 1, dtype=np.uint64))
+
+
+def _dealt_entries(held: list[np.ndarray], h: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    entries = np.concatenate(held)
+    order, cuts = _bucket(h, n)
+    for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+        yield record(_OWNED)([b], [entries[order[cuts[b] : cuts[b + 1]]].tobytes()])
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    held = [np.frombuffer(x.as_buffer(), _ENTRY) for batch in batches for x in batch.column("entries")]
+    return np.concatenate(held) if held else np.zeros(0, _ENTRY)
+
+
+def _shingles(width: int, n: int):
+    """An entry per class and shingle, by the bucket of the key: the shingle within the class's component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for rows, data, bounds in chunks(batches):
+            scope = mix(rows.column("component").to_numpy().view(np.uint64))
+            for node, of, s in zip(rows.column("class").to_pylist(), scope, shingle_sets(data, bounds, width)):
+                own = np.zeros(len(s), _ENTRY)
+                own["class"], own["key"], own["n"] = node, mix(s ^ of), len(s)
+                held.append(own)
+                size += len(s)
+            if size > 1_000_000:
+                yield from _dealt_entries(held, np.concatenate([x["key"] for x in held]), n)
+                held, size = [], 0
+        if size:
+            yield from _dealt_entries(held, np.concatenate([x["key"] for x in held]), n)
+
+    return run
+
+
+def _owners(n: int):
+    """The entries of keys that more than one class owns, with the count of owners, by the bucket of the class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = _entries(batches)
+        if not len(e):
+            return
+        e = e[np.lexsort((e["class"], e["key"]))]
+        k, v = e["key"], e["class"]
+        e = e[np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])]  # repeated rows bring a class's text twice
+        first = np.flatnonzero(np.concatenate([[True], e["key"][1:] != e["key"][:-1]]))
+        size = np.diff(np.append(first, len(e)))
+        e["owners"] = np.repeat(size, size)
+        e = e[e["owners"] > 1]
+        for at in range(0, len(e), 1_000_000):
+            own = e[at : at + 1_000_000]
+            yield from _dealt_entries([own], mix(own["class"].view(np.uint64)), n)
+
+    return run
+
+
+def _rarest(num: int, den: int, n: int):
+    """Of each class the shared keys among its n - ceil(t * n) + 1 rarest, by the bucket of the key, as _blobs gives them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = _entries(batches)
+        if not len(e):
+            return
+        e = e[np.lexsort((e["key"], e["owners"], e["class"]))]
+        first = np.flatnonzero(np.concatenate([[True], e["class"][1:] != e["class"][:-1]]))
+        shared = np.diff(np.append(first, len(e)))
+        size = e["n"][first].astype(np.int64)
+        most = size + num * size // -den + 1 - (size - shared)  # shingles of its own come before the shared ones
+        e = e[np.arange(len(e)) - np.repeat(first, shared) < np.repeat(most, shared)]
+        order, cuts = _bucket(e["key"], n)
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            own = e[order[cuts[b] : cuts[b + 1]]]
+            table, which = np.unique(own["class"], return_inverse=True)
+            yield record(_BLOBS)([b], [own["key"].tobytes()], [table.tobytes()], [which.astype(np.uint32).tobytes()])
+
+    return run
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ties the classes that share a key to the least of them."""
     keys, nodes = [], []
@@ -199,23 +289,38 @@ def jaccard_join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     # The texts are read again: signatures of all sets are larger than what else is kept.
     blobs = keyed.select("text").mapInArrow(_blobs(width, num, den, n), "bucket int, keys binary, classes binary, which binary")
     stars = dealt(blobs, "bucket", n).mapInArrow(_stars, "a long, b long")
-    near = stored(components(stars, "stars").join(classes, F.col("node") == F.col("class")).drop("node"), "near")
+    near = components(stars, "stars").join(classes, F.col("node") == F.col("class")).drop("node")
+    # Only these texts are dealt out again from here on.
+    holds = (F.col("holder.text_hash") == F.col("text_hash")) & F.col("holder.doc_id").eqNullSafe(F.col("doc_id"))
+    near = stored(near.join(keyed, holds).select("class", "component", "copies", "n", "text"), "near")
+
+    def fit(near: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """component of those that one tile holds, and of the others."""
+        whole = near.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("shingles")).withColumn("fits", (F.col("k") <= tile_docs) & (F.col("shingles") <= tile_shingles))
+        return whole.where("fits").select("component"), whole.where("not fits").select("component")
+
+    _, large = fit(near)
+    wide = stored(near.join(large, "component", "left_semi").select(near.columns), "near-wide")
+    if not wide.isEmpty():
+        owned = dealt(wide.select("class", "component", "text").mapInArrow(_shingles(width, n), "bucket int, entries binary"), "bucket", n).mapInArrow(_owners(n), "bucket int, entries binary")
+        rarest = dealt(owned, "bucket", n).mapInArrow(_rarest(num, den, n), "bucket int, keys binary, classes binary, which binary")
+        anew = components(dealt(rarest, "bucket", n).mapInArrow(_stars, "a long, b long"), "stars-anew").withColumnsRenamed({"node": "class", "component": "_anew"})
+        tied = wide.join(anew, "class").select("class", F.col("_anew").alias("component"), "copies", "n", "text")
+        first, near = near, stored(near.join(large, "component", "left_anti").select(near.columns).union(tied), "near-anew")
+        discard(first)
+    discard(wide)
 
     band = F.floor(F.log(F.col("n")) / math.log(den / num) + 1e-9).cast("int")
     near = near.withColumn("band", band)
     per = near.groupBy("component", "band").agg(F.count("*").alias("k"), F.sum("n").alias("shingles"))
-    whole = per.groupBy("component").agg(F.sum("k").alias("k"), F.sum("shingles").alias("shingles"))
-    small = whole.where(f"k <= {tile_docs} and shingles <= {tile_shingles}")
-    large = whole.join(small.select("component"), "component", "left_anti").select("component")
+    small, large = fit(near)
     blocks = per.join(large, "component").select("component", F.col("band").alias("other"), F.greatest(F.ceil(F.col("k") / (tile_docs // 2)), F.ceil(F.col("shingles") / (tile_shingles // 2))).alias("cuts"))
-    one = near.join(small.select("component"), "component", "left_semi").select("class", "copies", "holder", F.xxhash64("component").alias("tile"), F.lit(0).cast("long").alias("block"), F.lit(True).alias("within"))
-    in_block = near.join(blocks.select("component", F.col("other").alias("band"), "cuts"), ["component", "band"]).select("component", "band", "class", "copies", "holder", (F.col("band") * 1_000_000 + F.pmod(F.xxhash64("class"), "cuts")).alias("block"))
+    one = near.join(small, "component", "left_semi").select("class", "copies", F.xxhash64("component").alias("tile"), F.lit(0).cast("long").alias("block"), F.lit(True).alias("within"), "text")
+    in_block = near.join(blocks.select("component", F.col("other").alias("band"), "cuts"), ["component", "band"]).select("component", "band", "class", "copies", "text", (F.col("band") * 1_000_000 + F.pmod(F.xxhash64("class"), "cuts")).alias("block"))
     met = in_block.join(blocks, "component").where("abs(band - other) <= 1").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
     met = met.withColumn("partner", F.col("other") * 1_000_000 + F.col("cut"))
-    many = met.select("class", "copies", "holder", F.xxhash64("component", F.least("block", "partner"), F.greatest("block", "partner")).alias("tile"), "block", (F.col("block") == F.col("partner")).alias("within"))
-    placed = one.union(many).select("class", "copies", "tile", "block", "within", F.col("holder.doc_id").alias("hid"), F.col("holder.text_hash").alias("hth"))
-    texts = placed.join(keyed, (F.col("hth") == F.col("text_hash")) & F.col("hid").eqNullSafe(F.col("doc_id"))).select("tile", "class", "copies", "block", "within", "text")
-    tiled = texts.repartition(n, "tile").sortWithinPartitions("tile")
+    many = met.select("class", "copies", F.xxhash64("component", F.least("block", "partner"), F.greatest("block", "partner")).alias("tile"), "block", (F.col("block") == F.col("partner")).alias("within"), "text")
+    tiled = one.union(many).repartition(n, "tile").sortWithinPartitions("tile")
     links = stored(tiled.mapInArrow(_tiles(width, num, den), "class long, root long, links long"), "links")
     joined = components(links.select(F.col("class").alias("a"), F.col("root").alias("b")), "joined")
     count = links.groupBy("class").agg(F.sum("links").alias("links"))
