@@ -5,8 +5,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from weftline.llm.suffix_dedup import Suffixes, remove_repeats
+from weftline.llm.suffix_dedup import Suffixes, _anchor_blobs, remove_repeats
 
 
 def brute(rows, length):
@@ -80,3 +81,15 @@ def test_repeated_starts_of_groups_in_blocks_of_any_size():
         for most in (1, 50, 300_000):
             got = {(i, s) for i, lo, hi in zip(*(v.tolist() for v in Suffixes(pieces, np.array(left), np.array(group)).repeated(40, most))) for s in range(lo, hi + 1)}
             assert got == want
+
+
+def test_anchors_spread_over_buckets():
+    rng = np.random.default_rng(6)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4000))) for _ in range(100)]
+    rows = pa.RecordBatch.from_pydict({"text": texts, "text_key": range(100)})
+    sizes = np.zeros(20, np.int64)
+    for blob in _anchor_blobs(400, 64, 20)(iter([rows])):
+        for b, h in zip(blob.column("bucket").to_pylist(), blob.column("h").to_pylist()):
+            sizes[b] += len(h) // 8
+    assert sizes.sum() > 2000
+    assert sizes.max() < 2 * sizes.mean()
