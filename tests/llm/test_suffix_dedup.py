@@ -93,3 +93,21 @@ def test_anchors_spread_over_buckets():
             sizes[b] += len(h) // 8
     assert sizes.sum() > 2000
     assert sizes.max() < 2 * sizes.mean()
+
+
+def test_planted_passages_of_over_50_words(spark):
+    """Passages in two texts each, of 60 words: those of 400 bytes are removed, those of 399 are not."""
+    rng = random.Random(7)
+    word = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    prose = lambda: " ".join(word(rng.randrange(2, 9)) for _ in range(150))
+    rows, want = [], {}
+    for i in range(20):
+        passage = " ".join([*(word(5) for _ in range(59)), word(46 - i % 2)])
+        for doc in (2 * i, 2 * i + 1):
+            edge = "!?"[doc % 2]  # what stands before and after differs, so the passage alone repeats
+            rows.append((doc, f"{prose()}{edge}{passage}{edge}{prose()}"))
+            want[doc] = 0 if i % 2 else 400
+    rows += [(doc, prose()) for doc in range(40, 60)]
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == want | dict.fromkeys(range(40, 60), 0)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out), key=str) == brute(rows, 400)
